@@ -11,13 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.session import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    """``documents`` spread over the cores when the file has few splits."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
 
 
 def diff_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,6 +100,18 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Hash-repartition ``df`` when its scan yields fewer splits than the
+    cluster has cores (a small file, or one row group), so the per-row work
+    after it runs in parallel.  A large input already has many splits and
+    is left as it is: no shuffle is added at scale."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key) if key else df.repartition(cores)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -105,15 +105,20 @@ def read_index_text(spark: SparkSession, path: str) -> DataFrame:
     """S7 (+F12): ``(file, row_idx)`` from index text files.
 
     Folders written by :func:`tokenloom.sinks.tables.write_index_text` carry
-    the data file name as the ``file`` partition column; a flat folder of
-    foreign index files takes it from each file's own name.  Lines are read
-    one by one; every integer on a line is an index (``None`` and brackets
+    the data file name as the ``file`` partition column and hold bounded
+    lines; they are read line by line.  A flat folder of foreign index
+    files (plain text named like the data file, e.g. ``x.jsonl.zst``) is
+    read as raw bytes, so no codec is guessed from the name, and each file
+    name becomes ``file``.  Every integer is an index (``None`` and brackets
     are skipped, any nesting is flattened).
     """
     lines = spark.read.text(path)
-    if "file" not in lines.columns:
-        lines = lines.withColumn("file", F.col("_metadata.file_name"))
-    return index_from_text(lines, "value")
+    if "file" in lines.columns:
+        return index_from_text(lines, "value")
+    raw = (spark.read.format("binaryFile").load(path)
+           .select(F.element_at(F.split("path", "/"), -1).alias("file"),
+                   F.decode("content", "UTF-8").alias("value")))
+    return index_from_text(raw, "value")
 
 
 def count_files(spark: SparkSession, path: str, glob: str | None = None) -> int:
