@@ -88,10 +88,10 @@ def prepare_training_blocks(df: DataFrame, cfg: BlockConfig, vocab: DataFrame |
     if not tokenized:
         txt = text_column(df)
         t = with_tokens(df.select("split", order_col, F.col(txt).alias("text"))).drop("text")
+        if vocab is None:                    # ids come from all records, not the kept ones
+            vocab = build_vocabulary(t)
         if cfg.ignore_long_samples:                                # P2 on token strings
             t = length_filter(t, block, "tokens")
-        if vocab is None:
-            vocab = build_vocabulary(t)
         if cfg.train_diff_model:                                   # marker on token strings
             t = with_marker_index(t, marker_tokens(cfg.marker), "tokens").where(F.col("dff_idx").isNotNull())
         t = encode(t, vocab, ["split", order_col])

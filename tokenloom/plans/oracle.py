@@ -65,42 +65,42 @@ MASKED = f"""m AS (SELECT e.doc_id, e.ids, f.nt, f.dff_idx, {_labels('e.ids', 'f
 BASE = f"WITH {REC},\n{TOK},\n{VOCAB},\n{ENC},\n{IDX}"
 
 
-def _pack_sql(max_tokens: int, block: int, batch: int, final: str) -> str:
+def _pack_sql(max_tokens: int, block: int, batch: int, final: str, split: str = "'train'") -> str:
     return f"""{BASE},
 kept AS (SELECT e.doc_id, e.ids, f.dff_idx FROM enc e JOIN fi f USING (doc_id)
          WHERE f.nt < {max_tokens} AND f.dff_idx IS NOT NULL),
-lab AS (SELECT doc_id, ids, {_labels('ids', 'dff_idx')} AS labels FROM kept),
-d AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS dense FROM lab),
+lab AS (SELECT doc_id, ids, {_labels('ids', 'dff_idx')} AS labels, {split} AS split FROM kept),
+d AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1 AS dense FROM lab),
 b AS (SELECT *, dense // {batch} AS batch_id, len(ids) + 1 AS len1 FROM d),
-s AS (SELECT *, CAST(coalesce(sum(len1) OVER (PARTITION BY batch_id ORDER BY dense
+s AS (SELECT *, CAST(coalesce(sum(len1) OVER (PARTITION BY split, batch_id ORDER BY dense
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS st,
-             CAST(sum(len1) OVER (PARTITION BY batch_id) AS BIGINT) AS total FROM b),
+             CAST(sum(len1) OVER (PARTITION BY split, batch_id) AS BIGINT) AS total FROM b),
 k AS (SELECT *, least(st + len1, CASE WHEN total >= {block} THEN (total // {block}) * {block}
                                       ELSE total END) AS en FROM s),
-x AS (SELECT batch_id, st, en, ids, labels,
+x AS (SELECT split, batch_id, st, en, ids, labels,
              unnest(generate_series(st // {block}, (en - 1) // {block})) AS block_id FROM k WHERE en > st),
-seg AS (SELECT batch_id, block_id, greatest(st, block_id * {block}) AS lo,
+seg AS (SELECT split, batch_id, block_id, greatest(st, block_id * {block}) AS lo,
                least(en, (block_id + 1) * {block}) AS hi, st,
                list_append(ids, {EOS_ID}) AS ids1,
                list_append({_repeat('len(ids)', 1)}, 0) AS mask1,
                list_append(labels, {IGNORE_LABEL}) AS lab1 FROM x),
-blocks AS (SELECT batch_id, block_id,
+blocks AS (SELECT split, batch_id, block_id,
                   flatten(list(ids1[lo - st + 1:hi - st] ORDER BY lo)) AS ids,
                   flatten(list(mask1[lo - st + 1:hi - st] ORDER BY lo)) AS mask,
                   flatten(list(lab1[lo - st + 1:hi - st] ORDER BY lo)) AS labels
-           FROM seg GROUP BY batch_id, block_id)
+           FROM seg GROUP BY split, batch_id, block_id)
 {final}"""
 
 
-_BLOCK_ROWS = f"""SELECT 'train' AS split, CAST(batch_id AS BIGINT) AS batch_id, CAST(block_id AS BIGINT) AS block_id,
+_BLOCK_ROWS = f"""SELECT split, CAST(batch_id AS BIGINT) AS batch_id, CAST(block_id AS BIGINT) AS block_id,
        CAST(len(ids) AS BIGINT) AS n_tokens, {_h('ids')} AS ids_md5, {_h('mask')} AS mask_md5,
        {_h('labels')} AS labels_md5 FROM blocks"""
 
-_BLOCK_CHECKS = f"""SELECT 'train' AS split, CAST(count(*) AS BIGINT) AS n_blocks,
+_BLOCK_CHECKS = f"""SELECT split, CAST(count(*) AS BIGINT) AS n_blocks,
        CAST(sum(CASE WHEN len(ids) <> len(mask) OR len(ids) <> len(labels) THEN 1 ELSE 0 END) AS BIGINT) AS len_mismatch,
        CAST(sum(CASE WHEN len(ids) <> {q.PACK_BLOCK} THEN 1 ELSE 0 END) AS BIGINT) AS wrong_size,
        CAST(sum(CASE WHEN labels[1] = {IGNORE_LABEL} THEN 1 ELSE 0 END) AS BIGINT) AS first_label_masked
-FROM blocks"""
+FROM blocks GROUP BY split"""
 
 DOCS_POS = """dp AS (SELECT doc_id, source AS file, text,
               CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS BIGINT) AS row_idx
@@ -187,6 +187,10 @@ WHERE (SELECT s FROM stop) IS NULL OR row_idx < (SELECT s FROM stop)""",
     "pack_blocks": _pack_sql(q.PACK_MAX, q.PACK_BLOCK, q.PACK_BATCH, _BLOCK_ROWS),
     "pack_short_batch": _pack_sql(q.SHORT_MAX, q.SHORT_BLOCK, q.SHORT_BATCH, _BLOCK_ROWS),
     "block_checks": _pack_sql(q.PACK_MAX, q.PACK_BLOCK, q.PACK_BATCH, _BLOCK_CHECKS),
+    "training_blocks": _pack_sql(
+        q.PACK_BLOCK, q.PACK_BLOCK, q.PACK_BATCH, _BLOCK_ROWS,
+        split=f"CASE WHEN doc_id < CAST(round_even((SELECT count(*) FROM documents) * {q.PERCENT} / 100.0, 0) "
+              "AS BIGINT) THEN 'validation' ELSE 'train' END"),
 
     "pad_left": f"""{BASE},
 kept AS (SELECT e.doc_id, e.ids, f.dff_idx FROM enc e JOIN fi f USING (doc_id)
@@ -274,6 +278,18 @@ SELECT p.file, p.row_idx, md5(r.text) AS text_md5 FROM rec r JOIN rpos p USING (
     "tfrecord_export": f"""{PRODUCER}
 SELECT CAST(len(k.ids) AS BIGINT) AS n_ids, {_h('k.ids')} AS ids_md5 FROM k""",
 
+    "final_table": _pack_sql(q.PACK_MAX, q.PACK_BLOCK, q.PACK_BATCH, """
+SELECT split, CAST(count(*) AS BIGINT) AS n_blocks, CAST(sum(len(ids)) AS BIGINT) AS n_tokens
+FROM blocks GROUP BY split"""),
+
+    "chunk_files": f"""{BASE},
+k AS (SELECT e.doc_id, e.ids, f.dff_idx FROM enc e JOIN fi f USING (doc_id)
+      WHERE f.dff_idx IS NOT NULL AND f.nt <= {q.MAX_TOKENS})
+SELECT CAST(doc_id // {q.CHUNK} AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(sum(len(ids)) AS BIGINT) AS n_tokens,
+       CAST(sum(len(ids) - dff_idx) AS BIGINT) AS n_unmasked
+FROM k GROUP BY doc_id // {q.CHUNK}""",
+
     "split_files": """
 SELECT 'train' AS split, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM documents
 UNION ALL

@@ -212,6 +212,16 @@ def q_pad_left(spark, sf):
                     h("labels").alias("labels_md5"))
 
 
+def q_training_blocks(spark, sf):
+    """E2 end to end: positional split, length filter, marker, labels, pack."""
+    from tokenloom.plans.flows import BlockConfig, prepare_training_blocks
+    rec = diff_records(spark, sf).select(F.col("doc_id").alias("row_idx"), "text")
+    cfg = BlockConfig(block_size=PACK_BLOCK, batch_rows=PACK_BATCH, validation_percent=PERCENT,
+                      concatenate_texts=True)
+    blocks, _ = prepare_training_blocks(rec, cfg)
+    return _block_out(blocks)
+
+
 def q_block_checks(spark, sf):
     b = pack_blocks(_pack_input(spark, sf, PACK_MAX), PACK_BLOCK, PACK_BATCH)
     return block_report(b, PACK_BLOCK)
@@ -358,6 +368,38 @@ def q_split_files(spark, sf):
                                    F.sum(F.length(txt)).cast("bigint").alias("n_chars"))
 
 
+def q_final_table(spark, sf):
+    """K2: the final block table is written once; a second write with
+    different content is ignored (``mode("ignore")``)."""
+    from tokenloom.sinks.tables import write_final
+    blocks = pack_blocks(_pack_input(spark, sf, PACK_MAX), PACK_BLOCK, PACK_BATCH)
+    path = scratch_path(spark, "final")
+    write_final(blocks, path)
+    write_final(blocks.limit(0), path)          # already there: kept as it is
+    back = spark.read.parquet(path)
+    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n_blocks"),
+                                     F.sum(F.size("input_ids")).cast("bigint").alias("n_tokens"))
+
+
+def q_chunk_files(spark, sf):
+    """K1 + K3: the producer's token table in numbered chunks of ``CHUNK``
+    records (token columns only); rewriting a chunk replaces it."""
+    from tokenloom.sinks.tables import write_chunks
+    t = _records_tokens(spark, sf)
+    vocab = build_vocabulary(t.select("tokens"))
+    f = flag_records(t, marker_tokens(MARKER), MAX_TOKENS, inclusive=True).where(~F.col("invalid"))
+    enc = with_labels(encode(f.select("doc_id", "dff_idx", "tokens"), vocab, ["doc_id"]), max_tokens=MAX_TOKENS)
+    out = enc.select(chunk_id("doc_id", CHUNK).alias("batch"), "input_ids", "attention_mask", "labels")
+    path = scratch_path(spark, "chunks")
+    write_chunks(out, path)
+    write_chunks(out.where(F.col("batch") == 0), path)   # rerun of chunk 0 replaces it
+    back = spark.read.parquet(path)
+    return back.groupBy("batch").agg(F.count(F.lit(1)).alias("n_rows"),
+                                     F.sum(F.size("input_ids")).cast("bigint").alias("n_tokens"),
+                                     F.sum(F.size(F.filter("labels", lambda x: x != F.lit(IGNORE_LABEL))))
+                                      .cast("bigint").alias("n_unmasked"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tokenize_counts": q_tokenize_counts,
     "vocabulary": q_vocabulary,
@@ -377,6 +419,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pack_short_batch": q_pack_short_batch,
     "pad_left": q_pad_left,
     "block_checks": q_block_checks,
+    "training_blocks": q_training_blocks,
     "split_positional": q_split_positional,
     "sample_cap": q_sample_cap,
     "index_filter": q_index_filter,
@@ -395,4 +438,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tfrecord_export": q_tfrecord_export,
     "stream_masked": q_stream_masked,
     "split_files": q_split_files,
+    "final_table": q_final_table,
+    "chunk_files": q_chunk_files,
 }
