@@ -58,7 +58,14 @@ def file_row_index(tagged: DataFrame, out_col: str = "row_idx") -> DataFrame:
                    F.min("_split_start").alias("_start")))
     w = Window.partitionBy("file").orderBy("_start", "_pid").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n", "_start")
-    out = tagged.join(_maybe_broadcast(pieces), ["file", "_pid"])
+    # one row per file split: at most (input files + scan partitions) rows,
+    # both known from planning metadata, so the size check runs no job
+    try:
+        bound = len(tagged.inputFiles()) + tagged.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - a plan without file metadata: count instead
+        bound = pieces.count()
+    small = F.broadcast(pieces) if bound <= SMALL_TABLE_MAX_ROWS else pieces
+    out = tagged.join(small, ["file", "_pid"])
     return (out.withColumn(out_col, (F.col("_off") + F.col("_mid") - F.col("_mid0")).cast("bigint"))
                .drop("_pid", "_mid", "_mid0", "_off", "_split_start"))
 

@@ -65,9 +65,16 @@ def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
     return ranked.select("token", "n", id_of_rank("rank").alias("id"))
 
 
-def _vocab_side(vocab: DataFrame, key: str, value: str, max_broadcast_rows: int):
+def vocabulary_rows(vocab: DataFrame) -> int:
+    """Row count of a vocabulary (one small job); pass it to :func:`encode`
+    when encoding many tables with the same vocabulary."""
+    return vocab.count()
+
+
+def _vocab_side(vocab: DataFrame, key: str, value: str, max_broadcast_rows: int,
+                n_rows: int | None = None):
     """Return (lookup table, salted?) after checking the vocabulary size."""
-    n = vocab.count()
+    n = vocab.count() if n_rows is None else n_rows
     small = vocab.select(F.col(key).alias("_k"), F.col(value).alias("_v"))
     if n <= max_broadcast_rows:
         return F.broadcast(small), False
@@ -76,7 +83,8 @@ def _vocab_side(vocab: DataFrame, key: str, value: str, max_broadcast_rows: int)
 
 
 def _lookup_regroup(df: DataFrame, key_cols: Sequence[str], arr_col: str, vocab: DataFrame,
-                    key: str, value: str, out_col: str, max_broadcast_rows: int) -> DataFrame:
+                    key: str, value: str, out_col: str, max_broadcast_rows: int,
+                    n_rows: int | None = None) -> DataFrame:
     """Map every element of ``arr_col`` through ``vocab`` (key -> value).
 
     Other columns of ``df`` ride along as ``first()`` aggregates; they are
@@ -85,7 +93,7 @@ def _lookup_regroup(df: DataFrame, key_cols: Sequence[str], arr_col: str, vocab:
     """
     keys = list(key_cols)
     carry = [c for c in df.columns if c not in keys and c != arr_col]
-    side, salted = _vocab_side(vocab, key, value, max_broadcast_rows)
+    side, salted = _vocab_side(vocab, key, value, max_broadcast_rows, n_rows)
     ex = df.select(*keys, *carry, F.posexplode_outer(arr_col).alias("_pos", "_k"))
     if salted:
         ex = ex.withColumn("_salt", F.pmod(F.coalesce(F.col("_pos"), F.lit(0)), F.lit(VOCAB_SALT)))
@@ -102,12 +110,13 @@ def _lookup_regroup(df: DataFrame, key_cols: Sequence[str], arr_col: str, vocab:
 
 def encode(df: DataFrame, vocab: DataFrame, key_cols: Sequence[str], tokens_col: str = "tokens",
            out_col: str = "input_ids", with_mask: bool = True,
-           max_broadcast_rows: int = VOCAB_BROADCAST_MAX_ROWS) -> DataFrame:
+           max_broadcast_rows: int = VOCAB_BROADCAST_MAX_ROWS, vocab_rows: int | None = None) -> DataFrame:
     """Token strings -> ``input_ids`` (``array<int>``), plus F4's
     ``attention_mask``.  ``key_cols`` must identify a row.  The tokens column
     is replaced; a token missing from the vocabulary gives a NULL id."""
     v = vocab.select("token", F.col("id").cast("int").alias("id"))
-    out = _lookup_regroup(df, key_cols, tokens_col, v, "token", "id", out_col, max_broadcast_rows)
+    out = _lookup_regroup(df, key_cols, tokens_col, v, "token", "id", out_col, max_broadcast_rows,
+                          vocab_rows)
     if with_mask:
         out = out.withColumn("attention_mask", attention_mask(out_col))
     return out
