@@ -25,12 +25,6 @@ from tokenloom.session import default_parallelism, land
 SMALL_TABLE_MAX_ROWS = 1_000_000
 
 
-def _maybe_broadcast(small: DataFrame, max_rows: int = SMALL_TABLE_MAX_ROWS) -> DataFrame:
-    """Broadcast ``small`` only after counting it; otherwise leave the choice
-    of join to the planner (AQE may still turn it into a broadcast)."""
-    return F.broadcast(small) if small.count() <= max_rows else small
-
-
 # --------------------------------------------------------------------------
 # O1: position of a row inside its file
 # --------------------------------------------------------------------------

@@ -60,15 +60,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tokenloom-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that opens files directly."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
 def land(df: DataFrame, name: str = "landing") -> DataFrame:
     """Cut lineage: write ``df`` as a Parquet table in the shared checkpoint
     folder and read it back.  Computed once, survives lost executors, and
@@ -78,8 +69,6 @@ def land(df: DataFrame, name: str = "landing") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-land_parquet = land
-
 
 _SHIPPED: set[str] = set()
 
@@ -114,8 +103,3 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
 
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def env_int(name: str, default: int) -> int:
-    v = os.environ.get(name)
-    return int(v) if v else default
