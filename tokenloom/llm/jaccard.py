@@ -28,9 +28,9 @@ heavy and never joined with itself as a whole:
   short are then compared one by one.
 
 Candidates are dropped only by proofs: by size, by position in the order, and
-by a 256-bit parity sketch (each shingle that is in one set alone flips one
-bit, so more flipped bits than a link allows rule it out).  The rest is
-compared on whole sets.  So no link between different components is missed.
+by a parity sketch of about as many bits as the set has shingles (each shingle
+that is in one set alone flips one bit, so more flipped bits than a link
+allows rule it out).  The rest is compared on whole sets.  So no link between different components is missed.
 
 Null or empty text: the empty set; links with nothing.  Repeated rows: equal
 sets, one node.  Null doc_id: takes the component of the documents with an
@@ -56,11 +56,11 @@ from tokenloom.session import land
 SHINGLE = 4
 PERCENT = 85
 LIGHT = 16        # longest list that is joined with itself
-SLACK = 0.06      # of a set's size, listed beyond the prefix
+SLACK = 0.05      # of a set's size, listed beyond the prefix
 SMALL_MOST = 30   # largest set size that the cost rule may call small
 SCAN_COST = 8.0   # cost of one list entry, in subsets
 PIVOT_ROUNDS = 3
-SKETCH = ["s0", "s1", "s2", "s3"]
+SKETCH_LEAST = 256  # bits
 
 
 def overlap(n: int, m: int, percent: int = PERCENT) -> int:
@@ -113,28 +113,41 @@ def shingle_sets(words: Words, width: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
+def parity_sketch(shingles: np.ndarray) -> bytes:
+    """One bit per shingle modulo a power of two: parities of the counts."""
+    bits = max(SKETCH_LEAST, 1 << (len(shingles).bit_length() - 1))
+    counts = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """At least so many elements are in one of two sets alone.  The longer
+    sketch is folded to the length of the shorter."""
+    x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(x) > len(y):
+        x, y = y, x
+    return int(np.bitwise_count(np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0) ^ x).sum())
+
+
 def _describe(batches: Iterable[pa.RecordBatch], percent: int, width: int) -> Iterable[pa.RecordBatch]:
     for batch in batches:
         for lo, hi in chunks(batch.column(1)):
             sets = shingle_sets(Words(batch.column(1).slice(lo, hi - lo)), width)
             sizes = np.array([len(s) for s in sets], np.int64)
             marks = np.zeros((len(sets), 2), np.uint64)
-            sketch = np.zeros((len(sets), 4), np.uint64)
             listed = []
             for i, s in enumerate(sets):
                 n = len(s)
                 if n:
                     marks[i] = mix(s).sum(dtype=np.uint64), mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
-                    bits = np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1
-                    sketch[i] = np.packbits(bits.astype(np.uint8)).view(np.uint64)
                 listed.append(s if n <= SMALL_MOST else s[:min(n, prefix(n, percent) + math.ceil(SLACK * n) + 4)])
             flat = np.concatenate(listed) if listed else np.zeros(0, np.uint64)
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in listed])]).astype(np.int32)
             yield pa.record_batch(
                 [batch.column(0).slice(lo, hi - lo), pa.array(sizes)] + [pa.array(marks[:, k].copy().view(np.int64)) for k in range(2)]
-                + [pa.array(sketch[:, k].copy().view(np.int64)) for k in range(4)]
-                + [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))],
-                names=["doc_id", "n", "f0", "f1", *SKETCH, "listed"])
+                + [pa.array([parity_sketch(x) for x in sets], pa.binary()),
+                   pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))],
+                names=["doc_id", "n", "f0", "f1", "sketch", "listed"])
 
 
 def _subsets(batches: Iterable[pa.RecordBatch], most: int, percent: int) -> Iterable[pa.RecordBatch]:
@@ -214,21 +227,25 @@ def _compare(batches: Iterable[pa.RecordBatch], percent: int) -> Iterable[pa.Rec
         yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
+def _may_link(batches: Iterable[pa.RecordBatch], percent: int) -> Iterable[pa.RecordBatch]:
+    """By sketch: |A ^ B| = |A| + |B| - 2 common, and a link has
+    ``(100 + percent) * common >= percent * (|A| + |B|)``."""
+    for batch in batches:
+        columns = (batch.column(k).to_pylist() for k in ("na", "nb", "sa", "sb"))
+        may = [(100 + percent) * (n + m - apart(x, y)) >= 2 * percent * (n + m) for n, m, x, y in zip(*columns)]
+        yield batch.select(["a", "b"]).filter(pa.array(may, pa.bool_()))
+
+
+def _verified(docs: DataFrame, facts: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
     """Those of ``pairs(a, b)`` that link; landed."""
-    spark = docs.sparkSession
-    facts = nodes.select("node", "n", F.array(*SKETCH).alias("s"))
-    both = (pairs.join(facts.toDF("a", "na", "sa"), "a").join(facts.toDF("b", "nb", "sb"), "b"))
-    apart = sum((F.bit_count(F.col("sa")[k].bitwiseXOR(F.col("sb")[k])) for k in range(1, 4)),
-                F.bit_count(F.col("sa")[0].bitwiseXOR(F.col("sb")[0])))
-    united = F.col("na") + F.col("nb")
-    # |A ^ B| = |A| + |B| - 2 common, and a link has (100 + percent) common >= percent (|A| + |B|)
-    left = land(both.where((100 + percent) * (united - apart) >= 2 * percent * united).select("a", "b"), "candidates")
+    both = pairs.join(facts.toDF("a", "na", "sa"), "a").join(facts.toDF("b", "nb", "sb"), "b")
+    left = land(map_arrow(both, lambda it: _may_link(it, percent), "a bigint, b bigint"), "candidates")
     ids = land(left.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "candidate-nodes")
-    with runtime_filters(spark):
+    with runtime_filters(docs.sparkSession):
         texts = docs.join(ids.where("node is not null"), F.col("doc_id") == F.col("node")).select("node", "text")
-        # rows that repeat an id give one set
-        sets = land(map_arrow(texts, lambda it: _sets(it, width), "node bigint, shingles binary").dropDuplicates(["node"]), "sets")
+        # rows that repeat an id give one set; the join has them in one place already
+        texts = texts.groupBy("node").agg(F.first("text").alias("text"))
+        sets = land(map_arrow(texts, lambda it: _sets(it, width), "node bigint, shingles binary"), "sets")
     joined = left.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     out = land(map_arrow(joined, lambda it: _compare(it, percent), "a bigint, b bigint"), "links")
     for t in (left, ids, sets):
@@ -251,16 +268,18 @@ def _heavy_prefix(found: DataFrame, percent: int) -> DataFrame:
 def links(docs: DataFrame, nodes: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """Links ``(a, b)`` that connect all that linked nodes connect.
 
-    ``nodes``: landed ``(node, n, s0..s3, listed)``.  Links inside a group that
+    ``nodes``: landed ``(node, n, sketch, listed)``; deleted.  Links inside a group that
     is connected already may be left out; none between two groups is.
     """
     counts = {r["n"]: r["c"] for r in nodes.where(F.col("n") <= SMALL_MOST).groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
     boundary = choose_boundary(counts, percent)
+    facts = land(nodes.select("node", "n", "sketch"), "facts")
     entries = _entries(nodes, boundary, percent)
-    shared = land(entries.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count(F.lit(1)).alias("count"))
-                  .where("a < b").select("key", "count"), "shared-keys")
+    # a node has a key once, so a key that is there twice is in two nodes
+    shared = land(entries.groupBy("key").agg(F.count(F.lit(1)).alias("count")).where("count > 1"), "shared-keys")
     found = land(entries.join(shared, "key"), "shared-entries")
     forget(shared)
+    forget(nodes)
     n, rank = _size("meta"), _rank("meta")
     reach = land(_heavy_prefix(found, percent), "reach")
     marked = land(found.join(reach, "node", "left").select(
@@ -271,12 +290,12 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int = PERCENT, width: int
     light = marked.where((F.col("count") <= LIGHT) & (F.col("whole") | (rank < F.col("reach"))))
     heavy = land(marked.where((F.col("count") > LIGHT) & (F.col("whole") | (rank < _p(n, percent)))), "heavy-entries")
     pairs = _pairs(light, light, F.col("l.node") < F.col("r.node"), percent)
-    known = _verified(docs, nodes, land(pairs, "light-pairs"), percent, width)
+    known = _verified(docs, facts, land(pairs, "light-pairs"), percent, width)
     forget(marked)
-    return _resolve_heavy(docs, nodes, heavy, known, percent, width)
+    return _resolve_heavy(docs, facts, heavy, known, percent, width)
 
 
-def _resolve_heavy(docs: DataFrame, nodes: DataFrame, heavy: DataFrame, known: DataFrame, percent: int, width: int) -> DataFrame:
+def _resolve_heavy(docs: DataFrame, facts: DataFrame, heavy: DataFrame, known: DataFrame, percent: int, width: int) -> DataFrame:
     """Links of the heavy lists that join groups which ``known`` leaves apart."""
     # a list without a short document is settled by its members' light shingles
     keys = heavy.groupBy("key").agg(F.max("short").alias("open")).where("open")
@@ -293,7 +312,7 @@ def _resolve_heavy(docs: DataFrame, nodes: DataFrame, heavy: DataFrame, known: D
             break
         star = apart.where("node = pivot").select("key", "node", "meta", "whole", "group")
         pairs = land(_pairs(star, apart, F.col("l.group") != F.col("r.group"), percent), "star-pairs")
-        more = _verified(docs, nodes, pairs, percent, width)
+        more = _verified(docs, facts, pairs, percent, width)
         if more.isEmpty():
             break
         known = land(known.union(more), "links")
@@ -302,21 +321,22 @@ def _resolve_heavy(docs: DataFrame, nodes: DataFrame, heavy: DataFrame, known: D
     rest = land(apart.select("key", "node", "meta", "whole", "group", "short"), "rest-entries")
     also = (F.col("l.group") != F.col("r.group")) & (F.col("l.node") != F.col("r.node")) & (~F.col("r.short") | (F.col("l.node") < F.col("r.node")))
     pairs = land(_pairs(rest.where("short"), rest, also, percent), "rest-pairs")
-    return land(known.union(_verified(docs, nodes, pairs, percent, width)), "links")
+    return land(known.union(_verified(docs, facts, pairs, percent, width)), "links")
 
 
 def near_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row of ``docs(doc_id, text)``."""
     docs = docs.select("doc_id", "text")
-    schema = "doc_id bigint, n bigint, f0 bigint, f1 bigint, " + ", ".join(f"{s} bigint" for s in SKETCH) + ", listed array<bigint>"
+    schema = "doc_id bigint, n bigint, f0 bigint, f1 bigint, sketch binary, listed array<bigint>"
     described = land(map_arrow(docs, lambda it: _describe(it, percent, width), schema), "described")
-    first = [F.first(c).alias(c) for c in [*SKETCH, "listed"]]
-    nodes = land(described.where("n > 0").groupBy("f0", "f1", "n").agg(F.min("doc_id").alias("node"), *first), "nodes")
-    members = described.select("doc_id", "n", "f0", "f1")
+    members = land(described.select("doc_id", "n", "f0", "f1"), "members")
+    nodes = land(described.where("n > 0").groupBy("f0", "f1", "n").agg(
+        F.min("doc_id").alias("node"), F.first("sketch").alias("sketch"), F.first("listed").alias("listed")), "nodes")
+    forget(described)
+    names = land(nodes.select("f0", "f1", "n", "node"), "names")
     group = components(links(docs.where("doc_id is not null"), nodes.where("node is not null"), percent, width))
-    named = land(nodes.select("f0", "f1", "n", "node").join(group.toDF("node", "group"), "node", "left")
-                 .select("f0", "f1", "n", F.coalesce("group", "node").alias("component")), "named")
-    out = members.join(named, ["f0", "f1", "n"], "left")
+    named = names.join(group.toDF("node", "group"), "node", "left").select("f0", "f1", "n", F.coalesce("group", "node").alias("component"))
+    out = members.join(land(named, "named"), ["f0", "f1", "n"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
