@@ -22,10 +22,10 @@ heavy and never joined with itself as a whole:
   the document takes the next light shingles into its prefix instead.  Every
   document lists ``SLACK`` more shingles than ``p`` for that.
 * Where more are missing (``short`` documents, mostly members of large groups)
-  each heavy list is resolved by stars: every member is compared with one
-  pivot, then with further pivots of its list while groups remain; linked
-  members become one group.  Only pairs of different groups of which one is
-  short are then compared one by one.
+  each heavy list is dealt into random cells of about ``LIGHT`` sets, which are
+  joined with themselves, a few times over; linked members become one group.
+  Then only pairs of different groups of which one is short are left, and each
+  is made once, at the first heavy shingle that its sets share.
 
 Candidates are dropped only by proofs: by size, by position in the order, and
 by a parity sketch of about as many bits as the set has shingles (each shingle
@@ -56,11 +56,12 @@ from tokenloom.session import land
 SHINGLE = 4
 PERCENT = 85
 LIGHT = 16        # longest list that is joined with itself
-SLACK = 0.05      # of a set's size, listed beyond the prefix
+SLACK = 0.07      # of a set's size, listed beyond the prefix
 SMALL_MOST = 30   # largest set size that the cost rule may call small
 SCAN_COST = 8.0   # cost of one list entry, in subsets
-PIVOT_ROUNDS = 3
+CELL_ROUNDS = 4
 SKETCH_LEAST = 256  # bits
+BRIEF = ["s0", "s1", "s2", "s3"]  # the sketch folded to 256 bits
 
 
 def overlap(n: int, m: int, percent: int = PERCENT) -> int:
@@ -120,6 +121,12 @@ def parity_sketch(shingles: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
+def brief_sketch(shingles: np.ndarray) -> np.ndarray:
+    """The sketch folded to its least length, as four words."""
+    counts = np.bincount((shingles & np.uint64(SKETCH_LEAST - 1)).astype(np.int64), minlength=SKETCH_LEAST)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def apart(x: bytes, y: bytes) -> int:
     """At least so many elements are in one of two sets alone.  The longer
     sketch is folded to the length of the shorter."""
@@ -145,9 +152,10 @@ def _describe(batches: Iterable[pa.RecordBatch], percent: int, width: int) -> It
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in listed])]).astype(np.int32)
             yield pa.record_batch(
                 [batch.column(0).slice(lo, hi - lo), pa.array(sizes)] + [pa.array(marks[:, k].copy().view(np.int64)) for k in range(2)]
+                + [pa.array(k) for k in np.array([brief_sketch(x) for x in sets]).T]
                 + [pa.array([parity_sketch(x) for x in sets], pa.binary()),
                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))],
-                names=["doc_id", "n", "f0", "f1", "sketch", "listed"])
+                names=["doc_id", "n", "f0", "f1", *BRIEF, "sketch", "listed"])
 
 
 def _subsets(batches: Iterable[pa.RecordBatch], most: int, percent: int) -> Iterable[pa.RecordBatch]:
@@ -203,8 +211,10 @@ def _possible(percent: int) -> Column:
     return (100 + percent) * most >= percent * (n + m)
 
 
-def _pairs(left: DataFrame, right: DataFrame, also: Column, percent: int) -> DataFrame:
-    joined = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & also & _possible(percent))
+def _pairs(left: DataFrame, right: DataFrame, also: Column, percent: int, last: Column | None = None) -> DataFrame:
+    """Distinct pairs of nodes with a common key; conditions in the order of their cost."""
+    on = (F.col("l.key") == F.col("r.key")) & also & _possible(percent)
+    joined = left.alias("l").join(right.alias("r"), on if last is None else on & last)
     return joined.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
 
 
@@ -238,6 +248,7 @@ def _may_link(batches: Iterable[pa.RecordBatch], percent: int) -> Iterable[pa.Re
 
 def _verified(docs: DataFrame, facts: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
     """Those of ``pairs(a, b)`` that link; landed."""
+    facts = facts.select("node", "n", "sketch")
     both = pairs.join(facts.toDF("a", "na", "sa"), "a").join(facts.toDF("b", "nb", "sb"), "b")
     left = land(map_arrow(both, lambda it: _may_link(it, percent), "a bigint, b bigint"), "candidates")
     ids = land(left.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "candidate-nodes")
@@ -273,7 +284,7 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int = PERCENT, width: int
     """
     counts = {r["n"]: r["c"] for r in nodes.where(F.col("n") <= SMALL_MOST).groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
     boundary = choose_boundary(counts, percent)
-    facts = land(nodes.select("node", "n", "sketch"), "facts")
+    facts = land(nodes.select("node", "n", *BRIEF, "sketch"), "facts")
     entries = _entries(nodes, boundary, percent)
     # a node has a key once, so a key that is there twice is in two nodes
     shared = land(entries.groupBy("key").agg(F.count(F.lit(1)).alias("count")).where("count > 1"), "shared-keys")
@@ -295,43 +306,50 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int = PERCENT, width: int
     return _resolve_heavy(docs, facts, heavy, known, percent, width)
 
 
+def _near(percent: int) -> Column:
+    """By the brief sketches: entries ``l`` and ``r`` may link."""
+    flipped = [F.bit_count(F.col(f"l.{c}").bitwiseXOR(F.col(f"r.{c}"))) for c in BRIEF]
+    united = _size("l.meta") + _size("r.meta")
+    return (100 + percent) * (united - (flipped[0] + flipped[1] + flipped[2] + flipped[3])) >= 2 * percent * united
+
+
 def _resolve_heavy(docs: DataFrame, facts: DataFrame, heavy: DataFrame, known: DataFrame, percent: int, width: int) -> DataFrame:
     """Links of the heavy lists that join groups which ``known`` leaves apart."""
     # a list without a short document is settled by its members' light shingles
-    keys = heavy.groupBy("key").agg(F.max("short").alias("open")).where("open")
-    heavy = land(heavy.join(land(keys.select("key"), "open-keys"), "key"), "open-entries")
-    for turn in range(PIVOT_ROUNDS + 1):
-        group = components(known)
-        apart = heavy.join(group.toDF("node", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
-        apart = land(apart, "grouped-entries")
-        keys = land(apart.groupBy("key").agg(F.min("group").alias("g"), F.max("group").alias("h"),
-                                             F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("pivot"))
-                    .where("g < h").select("key", F.col("pivot.node").alias("pivot")), "apart-keys")
-        apart = apart.join(keys, "key")
-        if turn == PIVOT_ROUNDS or keys.isEmpty():
+    keys = land(heavy.groupBy("key").agg(F.max("short").alias("open")).where("open").select("key"), "open-keys")
+    heavy = land(heavy.join(keys, "key").join(facts.select("node", *BRIEF), "node"), "open-entries")
+    unlike = F.col("l.group") != F.col("r.group")
+    for turn in range(CELL_ROUNDS + 1):
+        group = land(components(known), "groups")
+        grouped = heavy.join(group.toDF("node", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
+        keys = land(grouped.groupBy("key").agg(F.min("group").alias("g"), F.max("group").alias("h")).where("g < h").select("key"), "apart-keys")
+        rest = land(grouped.join(keys, "key"), "apart-entries")
+        if turn == CELL_ROUNDS or keys.isEmpty():
             break
-        star = apart.where("node = pivot").select("key", "node", "meta", "whole", "group")
-        pairs = land(_pairs(star, apart, F.col("l.group") != F.col("r.group"), percent), "star-pairs")
-        more = _verified(docs, facts, pairs, percent, width)
+        cells = rest.withColumn("cell", F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("count") / LIGHT)))
+        also = (F.col("l.cell") == F.col("r.cell")) & (F.col("l.node") < F.col("r.node")) & unlike & _near(percent)
+        more = _verified(docs, facts, land(_pairs(cells, cells, also, percent), "cell-pairs"), percent, width)
         if more.isEmpty():
             break
         known = land(known.union(more), "links")
     if keys.isEmpty():
         return known
-    rest = land(apart.select("key", "node", "meta", "whole", "group", "short"), "rest-entries")
-    also = (F.col("l.group") != F.col("r.group")) & (F.col("l.node") != F.col("r.node")) & (~F.col("r.short") | (F.col("l.node") < F.col("r.node")))
-    pairs = land(_pairs(rest.where("short"), rest, also, percent), "rest-pairs")
+    heads = land(rest.groupBy("node").agg(F.collect_list(F.hash("key")).alias("heads")), "heads")
+    rest = land(rest.drop("count", "reach").join(heads, "node"), "rest-entries")
+    once = F.array_min(F.array_intersect("l.heads", "r.heads")) == F.hash("l.key")
+    also = unlike & (~F.col("r.short") | (F.col("l.node") < F.col("r.node"))) & _near(percent)
+    pairs = land(_pairs(rest.where("short"), rest, also, percent, once), "rest-pairs")
     return land(known.union(_verified(docs, facts, pairs, percent, width)), "links")
 
 
 def near_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row of ``docs(doc_id, text)``."""
     docs = docs.select("doc_id", "text")
-    schema = "doc_id bigint, n bigint, f0 bigint, f1 bigint, sketch binary, listed array<bigint>"
+    schema = "doc_id bigint, n bigint, f0 bigint, f1 bigint, " + "".join(f"{s} bigint, " for s in BRIEF) + "sketch binary, listed array<bigint>"
     described = land(map_arrow(docs, lambda it: _describe(it, percent, width), schema), "described")
     members = land(described.select("doc_id", "n", "f0", "f1"), "members")
     nodes = land(described.where("n > 0").groupBy("f0", "f1", "n").agg(
-        F.min("doc_id").alias("node"), F.first("sketch").alias("sketch"), F.first("listed").alias("listed")), "nodes")
+        F.min("doc_id").alias("node"), *[F.first(c).alias(c) for c in (*BRIEF, "sketch", "listed")]), "nodes")
     forget(described)
     names = land(nodes.select("f0", "f1", "n", "node"), "names")
     group = components(links(docs.where("doc_id is not null"), nodes.where("node is not null"), percent, width))
