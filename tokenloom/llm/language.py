@@ -66,55 +66,71 @@ def vocabulary(path: str | None = None) -> list[bytes]:
 
 
 class Pieces:
-    """Hash table of the vocabulary, and its matches in arrays of words."""
+    """Hash table of the vocabulary and its prefixes, and the matches of pieces
+    in arrays of words."""
+
+    PREFIX = -2   # of a piece, but none itself
 
     def __init__(self, vocab: list[bytes]):
-        data = np.frombuffer(b"".join(vocab), np.uint8)
-        ends = np.cumsum([len(p) for p in vocab])
-        keys = self._hash(data).of(ends - [len(p) for p in vocab], ends)
-        self.bits = 64 - (4 * len(vocab)).bit_length()
-        self.keys = np.zeros(1 << (64 - self.bits), np.uint64)
-        self.values = np.full(len(self.keys) + 1, -1, np.int32)
-        slots, left, self.probes = (keys >> np.uint64(self.bits)).astype(np.int64), np.arange(len(keys)), 0
+        values = {p[:k]: self.PREFIX for p in vocab for k in range(2, len(p))}
+        values.update((p, k) for k, p in enumerate(vocab) if len(p) > 1)
+        entries = list(values)
+        lengths = np.array([len(e) for e in entries])
+        ends = np.cumsum(lengths)
+        keys = np.zeros(len(entries), np.uint64)
+        if entries:
+            sums, inverse = self._sums(np.frombuffer(b"".join(entries), np.uint8))
+            keys = (sums[ends] - sums[ends - lengths]) * inverse[ends - lengths] + lengths.astype(np.uint64)
+        self.shift = np.uint64(64 - (8 * len(entries) + 1).bit_length())
+        self.keys = np.zeros(1 << (64 - int(self.shift)), np.uint64)
+        self.values = np.full(len(self.keys), -1, np.int32)
+        given = np.fromiter(values.values(), np.int32, len(values))
+        slots, left = self._slot(keys), np.arange(len(keys))
         while len(left):   # a free slot takes the first of those that want it, the others go on to the next
-            self.probes += 1
-            at = slots[left]
-            free = self.values[at] < 0
-            winners = np.unique(at[free], return_index=True)[1]
-            chosen = left[free][winners]
-            self.keys[slots[chosen]], self.values[slots[chosen]] = keys[chosen], chosen
+            free = self.values[slots[left]] == -1
+            chosen = left[free][np.unique(slots[left][free], return_index=True)[1]]
+            self.keys[slots[chosen]], self.values[slots[chosen]] = keys[chosen], given[chosen]
             left = np.setdiff1d(left, chosen)
             slots[left] = (slots[left] + 1) % len(self.keys)
 
     @staticmethod
-    def _hash(data: np.ndarray) -> SpanHash:
-        return SpanHash(data.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))
+    def _sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        own = SpanHash(data.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))
+        return own.sums, own.inverse
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        slot = (keys >> np.uint64(self.bits)).astype(np.int64)
-        out = np.full(len(keys), -1, np.int32)
-        for _ in range(self.probes):
-            same = (self.keys[slot] == keys) & (out < 0)
-            out[same] = self.values[slot[same]]
-            slot = (slot + 1) % len(self.keys)
+        """The entry's piece, ``PREFIX``, or -1."""
+        slot = self._slot(keys)
+        out = self.values[slot]
+        other = np.flatnonzero((out != -1) & (self.keys[slot] != keys))
+        while len(other):
+            slot[other] = (slot[other] + 1) % len(self.keys)
+            out[other] = self.values[slot[other]]
+            other = other[(out[other] != -1) & (self.keys[slot[other]] != keys[other])]
         return out
 
     def matches(self, words: list[bytes]) -> tuple[int, list]:
         """``(length, steps)`` of words of one length: a step ``(i, j, rows,
-        pieces)`` says that the piece stands at bytes ``i:j`` of the row."""
+        pieces)`` says that the piece stands at bytes ``i:j`` of the row.  Steps
+        come by ``i``; a row is looked up as long as its bytes begin a piece."""
         length, n = len(words[0]), len(words)
         data = np.frombuffer(b"".join(words), np.uint8)
-        hashes, base = self._hash(data), np.arange(n) * length
-        steps = []
-        for j in range(1, length + 1):
-            for i in range(max(0, j - PIECE_BYTES), j):
-                if j - i == 1:
-                    steps.append((i, j, slice(None), data[base + i].astype(np.int64)))
-                    continue
-                pieces = self.find(hashes.of(base + i, base + j))
-                rows = np.flatnonzero(pieces >= 0)
-                if len(rows):
-                    steps.append((i, j, rows, pieces[rows]))
+        (sums, inverse), base, steps = self._sums(data), np.arange(n) * length, []
+        for i in range(length):
+            steps.append((i, i + 1, slice(None), data[base + i].astype(np.int64)))
+            rows, start, factor = np.arange(n), sums[base + i], inverse[base + i]
+            for j in range(i + 2, min(length, i + PIECE_BYTES) + 1):
+                found = self.find((sums[rows * length + j] - start) * factor + np.uint64(j - i))
+                hit = found >= 0
+                if hit.any():
+                    steps.append((i, j, rows[hit], found[hit]))
+                on = found != -1
+                rows, start, factor = rows[on], start[on], factor[on]
+                if not len(rows):
+                    break
         return length, steps
 
 
@@ -240,7 +256,8 @@ def learn(docs: DataFrame, vocab: list[bytes], sample: int = SAMPLE, rounds: int
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     chosen = docs.where("lang is not null and text is not null").where(chance < F.get(F.array(F.try_element_at(share, F.col("lang"))), F.lit(0)))
     counted = map_arrow(chosen.select("lang", F.lower("text")), _count_words, "lang string, word binary, n bigint")
-    table = land(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
+    table = counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).repartition(2 * spark.sparkContext.defaultParallelism)
+    table = land(table, "language-words")
     shared_vocab = spark.sparkContext.broadcast(tuple(vocab))
     place = {lang: k for k, lang in enumerate(langs)}
     p = np.full((len(vocab), len(langs)), 1.0 / len(vocab))
