@@ -47,9 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether they decode to its text."""
-    decoded = bpe.decode(bpe.encode(docs))
-    return decoded.select("doc_id", "lang", "source", "n_tokens", "ids",
-                          (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    return bpe.encode(docs, check=True).select("doc_id", "lang", "source", "n_tokens", "ids", "round_trip")
 
 
 STAGES = [

@@ -38,7 +38,7 @@ from tokenloom.llm.tables import map_arrow, read
 
 TOKENIZER = "byte_bpe_50k.json"
 FILE_BYTES = 64 << 20
-TABLE_ENTRIES = 600_000
+TABLE_ENTRIES = 400_000
 LONGEST_KEY = 64   # characters of a remembered word
 # fixed value: the word pattern of byte-level BPE files whose pre-tokenizer says use_regex
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -204,22 +204,25 @@ def _texts(batch: pa.RecordBatch, name: str) -> Iterable[str]:
     return (x.as_py() or "" for x in column)
 
 
-def encode(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
-    """``docs`` with ``n_tokens`` and ``ids`` (array of ints)."""
+def encode(docs: DataFrame, text_col: str = "text", path: str | None = None, check: bool = False) -> DataFrame:
+    """``docs`` with ``n_tokens`` and ``ids`` (array of ints); with ``check`` also
+    ``round_trip``, whether the ids decode to the text."""
     shared = definition(docs.sparkSession, path)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", n_tokens bigint, ids array<int>"
-    names = [*docs.columns, "n_tokens", "ids"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", n_tokens bigint, ids array<int>" + ", round_trip boolean" * check
+    names = [*docs.columns, "n_tokens", "ids", *["round_trip"] * check]
 
     def run(batches):
         c = codec(shared.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                ids = [np.frombuffer(c.encode(t), "<i4") for t in _texts(part, text_col)]
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                texts = list(_texts(part, text_col))
+                ids = [np.frombuffer(c.encode(t), "<i4") for t in texts]
+                same = [pa.array([c.decode(i) == t for i, t in zip(ids, texts)], pa.bool_())] if check else []
                 counts = np.array([len(x) for x in ids], np.int64)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 values = pa.array(np.concatenate(ids), pa.int32())
-                yield pa.record_batch([*part.columns, pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), values)], names=names)
+                yield pa.record_batch([*part.columns, pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), values), *same], names=names)
 
     return map_arrow(docs, run, schema)
 

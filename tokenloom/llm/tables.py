@@ -11,20 +11,26 @@ from pyspark.sql import functions as F
 
 from tokenloom.session import land, ship_package
 
-#: Joined to every row of a scan; kept narrow by ``select`` before any shuffle.
+#: Lets any scan take a filter made of the other side of its join.
 RUNTIME_FILTER = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
 }
 
 
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "16m"
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterable[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with the package at hand on the executors."""
+    """``mapInArrow`` with the package at hand on the executors, in batches of
+    at most ``BATCH_BYTES`` of input where the session leaves Spark's default."""
     ship_package(df.sparkSession)
+    if df.sparkSession.conf.get(BATCH_CONF, None) in ("67108864b", "64m", "64MB"):
+        df.sparkSession.conf.set(BATCH_CONF, BATCH_BYTES)
     return df.mapInArrow(fn, schema)
 
 

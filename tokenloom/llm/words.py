@@ -16,7 +16,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Texts are worked on in runs of rows of about this many bytes; a longer text is a run of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
