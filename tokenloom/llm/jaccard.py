@@ -116,7 +116,7 @@ def shingle_sets(words: Words, width: int = SHINGLE) -> list[np.ndarray]:
 
 def parity_sketch(shingles: np.ndarray) -> bytes:
     """One bit per shingle modulo a power of two: parities of the counts."""
-    bits = max(SKETCH_LEAST, 1 << (len(shingles).bit_length() - 1))
+    bits = max(SKETCH_LEAST, 1 << (max(len(shingles), 1).bit_length() - 1))
     counts = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
