@@ -8,6 +8,7 @@ by.  Everything below them is a tunable default.
 # --- fixed values (must equal the data model's sentinels) -----------------
 EOS_ID = 50256          # end-of-sample / padding id
 IGNORE_LABEL = -100     # label value that the loss ignores
+UNKNOWN_ID = -1         # id of a token that the vocabulary does not hold
 MASKED_ATTENTION = 0    # attention value of padding and of the appended EOS
 MARKER = "<DFF>"        # the model completes the text after this marker
 ARCHIVE_SUFFIX = "jsonl.zst"   # archive file glob is "*jsonl.zst" (no dot)
@@ -24,8 +25,6 @@ DEFAULT_BLOCK_SIZE = 2048
 DEFAULT_BATCH_ROWS = 1000
 DEFAULT_CHUNK_SIZE = 500_000
 DEFAULT_VALIDATION_PERCENT = 5
-MODEL_MAX_LENGTH = 2048      # stands in for the tokenizer's model_max_length
-AUTO_BLOCK_CAP = 1024        # block size used when none is given
 
 # rows per range bucket used by the two-level dense index
 DEFAULT_BUCKET_ROWS = 1 << 16

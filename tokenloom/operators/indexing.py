@@ -59,8 +59,10 @@ def reconcile(inputs: DataFrame, outputs: DataFrame, index: DataFrame) -> DataFr
     ins = inputs.groupBy("file").agg(F.count(F.lit(1)).alias("in_rows"))
     outs = outputs.groupBy("file").agg(F.count(F.lit(1)).alias("out_rows"))
     idx = index.groupBy("file").agg(F.countDistinct("row_idx").alias("index_rows"))
-    j = ins.join(outs, "file", "full_outer").join(idx, "file", "full_outer")
+    hit = (index.select("file", "row_idx").distinct().join(inputs.select("file", "row_idx"), ["file", "row_idx"], "left_semi")
+           .groupBy("file").agg(F.count(F.lit(1)).alias("hit_rows")))
+    j = ins.join(outs, "file", "full_outer").join(idx, "file", "full_outer").join(hit, "file", "left")
     zero = F.lit(0).cast("bigint")
     j = j.select("file", *[F.coalesce(F.col(c).cast("bigint"), zero).alias(c)
-                           for c in ("in_rows", "out_rows", "index_rows")])
-    return j.withColumn("ok", F.col("out_rows") == F.least(F.col("index_rows"), F.col("in_rows")))
+                           for c in ("in_rows", "out_rows", "index_rows", "hit_rows")])
+    return j.withColumn("ok", F.col("out_rows") == F.col("hit_rows")).drop("hit_rows")

@@ -12,7 +12,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.constants import AUTO_BLOCK_CAP, DEFAULT_MAX_TOKENS, MODEL_MAX_LENGTH
+from tokenloom.constants import DEFAULT_MAX_TOKENS
 from tokenloom.functions.arrays import find_first, mask_before, truncate
 
 
@@ -42,12 +42,15 @@ def truncate_columns(df: DataFrame, n: int,
     return df
 
 
-def effective_block_size(block_size: int | None, model_max_length: int = MODEL_MAX_LENGTH) -> int:
-    """given size capped at the model maximum; none given = the model
-    maximum capped at 1024."""
-    if block_size is None:
-        return min(model_max_length, AUTO_BLOCK_CAP)
-    return min(block_size, model_max_length)
+def effective_block_size(block_size: int | None, max_length: int | None = None) -> int:
+    """the block size, checked.  A size is required; one above
+    ``max_length`` (the longest input of the model, if it has a limit) is an
+    error, never a silent cut."""
+    if block_size is None or block_size < 1:
+        raise ValueError(f"a block size of at least 1 is required, got {block_size}")
+    if max_length is not None and block_size > max_length:
+        raise ValueError(f"block size {block_size} exceeds the model's maximum of {max_length}")
+    return block_size
 
 
 # --------------------------------------------------------------------------

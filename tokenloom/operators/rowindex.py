@@ -54,10 +54,7 @@ def file_row_index(tagged: DataFrame, out_col: str = "row_idx") -> DataFrame:
     pieces = pieces.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n", "_start")
     # one row per file split: at most (input files + scan partitions) rows,
     # both known from planning metadata, so the size check runs no job
-    try:
-        bound = len(tagged.inputFiles()) + tagged.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - a plan without file metadata: count instead
-        bound = pieces.count()
+    bound = len(tagged.inputFiles()) + tagged.rdd.getNumPartitions()
     small = F.broadcast(pieces) if bound <= SMALL_TABLE_MAX_ROWS else pieces
     out = tagged.join(small, ["file", "_pid"])
     return (out.withColumn(out_col, (F.col("_off") + F.col("_mid") - F.col("_mid0")).cast("bigint"))
@@ -176,6 +173,20 @@ def positional_split(df: DataFrame, order_col: str = "row_idx",
               .withColumn("split_idx", F.when(idx < cut, idx).otherwise(idx - F.lit(cut)).cast("bigint")))
 
 
+def require_dense(df: DataFrame, order_col: str) -> int:
+    """The number of rows, if ``order_col`` holds 0 .. n-1; else an error.
+
+    One aggregate row: count, least and greatest value, and the first two
+    moments, which no table with repeated or missing positions is known to
+    share by accident.  Nothing is shuffled."""
+    i = F.col(order_col).cast("decimal(38,0)")
+    n, low, high, total, squares = df.agg(F.count(F.lit(1)), F.min(order_col), F.max(order_col), F.sum(i),
+                                          F.sum(F.col(order_col).cast("decimal(18,0)") * F.col(order_col).cast("decimal(18,0)"))).first()
+    if n and (low, high, int(total), int(squares)) != (0, n - 1, n * (n - 1) // 2, (n - 1) * n * (2 * n - 1) // 6):
+        raise ValueError(f"{order_col} must hold 0 to {n - 1}, each once; it goes from {low} to {high}")
+    return n
+
+
 def cap_rows(df: DataFrame, cap: int | None, dense_col: str = "split_idx") -> DataFrame:
     """Keep the first ``cap`` rows of each split (by dense position).
     ``min(cap, n)`` rows remain; ``None`` keeps all."""

@@ -21,7 +21,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.constants import EOS_ID, MARKER, VOCAB_BROADCAST_MAX_ROWS, VOCAB_SALT
+from tokenloom.constants import EOS_ID, MARKER, UNKNOWN_ID, VOCAB_BROADCAST_MAX_ROWS, VOCAB_SALT
 from tokenloom.functions.arrays import attention_mask
 from tokenloom.functions.text import marker_tokens, tokenize
 from tokenloom.operators.rowindex import ordered_index
@@ -113,15 +113,22 @@ def encode(df: DataFrame, vocab: DataFrame, key_cols: Sequence[str], tokens_col:
            max_broadcast_rows: int = VOCAB_BROADCAST_MAX_ROWS, vocab_rows: int | None = None) -> DataFrame:
     """Token strings -> ``input_ids`` (``array<int>``), plus F4's
     ``attention_mask``.  ``key_cols`` must identify a row.  The tokens column
-    is replaced; a token missing from the vocabulary gives a NULL id."""
+    is replaced; a token missing from the vocabulary gets ``UNKNOWN_ID``
+    (count them with :func:`unknown_count`)."""
     v = vocab.select("token", F.col("id").cast("int").alias("id"))
     out = _lookup_regroup(df, key_cols, tokens_col, v, "token", "id", out_col, max_broadcast_rows,
                           vocab_rows)
+    out = out.withColumn(out_col, F.transform(out_col, lambda x: F.coalesce(x, F.lit(UNKNOWN_ID))))
     if with_mask:
         out = out.withColumn("attention_mask", attention_mask(out_col))
     return out
 
 
+def unknown_count(ids_col: str = "input_ids") -> F.Column:
+    """Tokens of a row that the vocabulary did not hold."""
+    return F.size(F.filter(ids_col, lambda x: x == UNKNOWN_ID))
+
+
 def decode(df: DataFrame, vocab: DataFrame, key_cols: Sequence[str], ids_col: str = "input_ids",
            out_col: str = "decoded", sep: str = " ",
            max_broadcast_rows: int = VOCAB_BROADCAST_MAX_ROWS) -> DataFrame:

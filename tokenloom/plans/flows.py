@@ -24,7 +24,7 @@ from tokenloom.operators.checks import quality_counts, require_columns
 from tokenloom.operators.indexing import keep_indexed, reconcile, short_record_index
 from tokenloom.operators.marker import (drop_flagged, effective_block_size, flag_records, length_filter,
                                         text_column, with_labels, with_marker_index)
-from tokenloom.operators.rowindex import positional_split
+from tokenloom.operators.rowindex import ordered_index, positional_split, require_dense
 from tokenloom.operators.vocab import build_vocabulary, encode, with_tokens
 
 
@@ -54,13 +54,21 @@ def archive_to_token_table(records: DataFrame, key_cols=("file", "row_idx"),
     return out, counters, vocab
 
 
+def global_index(table: DataFrame, out_col: str = "row_idx") -> DataFrame:
+    """E1's table, keyed by ``(file, row_idx)``, with one dense 0-based index
+    over all files in its place: the form that E2 takes."""
+    t = ordered_index(table.withColumnRenamed("row_idx", "_in_file"), [F.col("file"), F.col("_in_file")], out_col)
+    return t.drop("file", "_in_file")
+
+
 # --------------------------------------------------------------------------
 # E2
 # --------------------------------------------------------------------------
 
 @dataclass
 class BlockConfig:
-    block_size: int | None = None
+    block_size: int | None = None          # required
+    max_length: int | None = None          # longest input of the model, if it has a limit
     ignore_long_samples: bool = True
     concatenate_texts: bool = False
     skip_concat: bool = False
@@ -77,13 +85,15 @@ def prepare_training_blocks(df: DataFrame, cfg: BlockConfig, vocab: DataFrame |
                             order_col: str = "row_idx"):
     """``df`` has a dense ``order_col`` and either text (column ``text``
     or the first column) or ``input_ids`` + ``attention_mask``.  Without a
-    ``split`` column the first ``validation_percent`` % become validation
-    (P8).  Returns ``(blocks, vocab)``.
+    validation split the first ``validation_percent`` % become validation
+    (P8), which needs an order column that is dense over the whole table
+    (``global_index`` makes one of ``(file, row_idx)``).  Returns
+    ``(blocks, vocab)``.
     """
-    block = effective_block_size(cfg.block_size)
+    block = effective_block_size(cfg.block_size, cfg.max_length)
     mode = block_mode(cfg.ignore_long_samples, cfg.concatenate_texts, cfg.skip_concat)
-    if "split" not in df.columns:
-        df = positional_split(df, order_col, cfg.validation_percent).drop("split_idx")
+    if "split" not in df.columns or df.where(F.col("split") == "validation").isEmpty():
+        df = positional_split(df, order_col, cfg.validation_percent, require_dense(df, order_col)).drop("split_idx")
     tokenized = "input_ids" in df.columns                         # P9
     if not tokenized:
         txt = text_column(df)

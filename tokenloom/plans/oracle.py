@@ -192,6 +192,11 @@ WHERE (SELECT s FROM stop) IS NULL OR row_idx < (SELECT s FROM stop)""",
         split=f"CASE WHEN doc_id < CAST(round_even((SELECT count(*) FROM documents) * {q.PERCENT} / 100.0, 0) "
               "AS BIGINT) THEN 'validation' ELSE 'train' END"),
 
+    "block_size_large": _pack_sql(
+        q.LARGE_BLOCK, q.LARGE_BLOCK, q.PACK_BATCH, _BLOCK_ROWS,
+        split=f"CASE WHEN doc_id < CAST(round_even((SELECT count(*) FROM documents) * {q.PERCENT} / 100.0, 0) "
+              "AS BIGINT) THEN 'validation' ELSE 'train' END"),
+
     "pad_left": f"""{BASE},
 kept AS (SELECT e.doc_id, e.ids, f.dff_idx FROM enc e JOIN fi f USING (doc_id)
          WHERE f.nt < {q.PAD_BLOCK} AND f.dff_idx IS NOT NULL),

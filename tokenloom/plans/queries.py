@@ -39,6 +39,7 @@ SHORT_MAX = 2048
 SHORT_BLOCK = 4096
 SHORT_BATCH = 5
 PAD_BLOCK = 512
+LARGE_BLOCK = 4096
 CHUNK = 100
 MIN_BATCH = 3
 CAP = 100
@@ -222,6 +223,15 @@ def q_training_blocks(spark, sf):
     return _block_out(blocks)
 
 
+def q_block_size_large(spark, sf):
+    """E2 with blocks longer than most records: none is lost to a length cap."""
+    from tokenloom.plans.flows import BlockConfig, prepare_training_blocks
+    rec = diff_records(spark, sf).select(F.col("doc_id").alias("row_idx"), "text")
+    blocks, _ = prepare_training_blocks(rec, BlockConfig(block_size=LARGE_BLOCK, batch_rows=PACK_BATCH, validation_percent=PERCENT,
+                                                         concatenate_texts=True))
+    return _block_out(blocks)
+
+
 def q_block_checks(spark, sf):
     b = pack_blocks(_pack_input(spark, sf, PACK_MAX), PACK_BLOCK, PACK_BATCH)
     return block_report(b, PACK_BLOCK)
@@ -420,6 +430,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pad_left": q_pad_left,
     "block_checks": q_block_checks,
     "training_blocks": q_training_blocks,
+    "block_size_large": q_block_size_large,
     "split_positional": q_split_positional,
     "sample_cap": q_sample_cap,
     "index_filter": q_index_filter,

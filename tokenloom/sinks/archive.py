@@ -14,6 +14,7 @@ Reading back needs nothing custom: ``spark.read.json`` decompresses
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -22,7 +23,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 from tokenloom.constants import ARCHIVE_SUFFIX
 from tokenloom.session import ship_package
-from tokenloom.sinks.fs import filesystem, join
+from tokenloom.sinks.fs import clear_job, filesystem, join
 
 
 @dataclass
@@ -68,7 +69,7 @@ class ArchiveWriter(DataSourceArrowWriter):
         pid = ctx.partitionId() if ctx else 0
         attempt = ctx.attemptNumber() if ctx else 0
         fs, root = filesystem(self.path)
-        tmp_dir = join(root, "_temporary", f"{self.job}-{pid:05d}-{attempt}")
+        tmp_dir = join(root, "_temporary", self.job, f"{pid:05d}-{attempt}")
         fs.create_dir(tmp_dir, recursive=True)
         open_files: dict[str, tuple] = {}
         moves, rows = [], 0
@@ -108,19 +109,22 @@ class ArchiveWriter(DataSourceArrowWriter):
     def commit(self, messages) -> None:
         fs, root = filesystem(self.path)
         finals = [dst for m in messages if m for _, dst in m.moves]
-        dupes = {d for d in finals if finals.count(d) > 1}
+        dupes = {d for d, n in Counter(finals).items() if n > 1}
         if dupes:
             self.abort(messages)
             raise ValueError(f"archive files written by more than one task: {sorted(dupes)[:5]}")
+        there = [d for d in finals if fs.get_file_info(d).type.name != "NotFound"]
+        if there:
+            self.abort(messages)
+            raise FileExistsError(f"archive files exist already: {sorted(there)[:5]}")
         for m in messages:
             for src, dst in (m.moves if m else []):
                 fs.move(src, dst)
-        fs.delete_dir_contents(join(root, "_temporary"), missing_dir_ok=True)
-        fs.delete_dir(join(root, "_temporary"))
+        clear_job(fs, root, self.job)
 
     def abort(self, messages) -> None:
         fs, root = filesystem(self.path)
-        fs.delete_dir_contents(join(root, "_temporary"), missing_dir_ok=True)
+        clear_job(fs, root, self.job)
 
 
 def archive_lines(df: DataFrame, text_col: str = "text") -> DataFrame:

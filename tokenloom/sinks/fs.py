@@ -21,6 +21,20 @@ def join(*parts: str) -> str:
     return "/".join([parts[0].rstrip("/")] + [p.strip("/") for p in parts[1:]])
 
 
+def clear_job(fs, root: str, job: str) -> None:
+    """Remove one job's private temporary folder, and the common one above it
+    when no other job is using it."""
+    from pyarrow import fs as pafs
+
+    top = join(root, "_temporary")
+    own = join(top, job)
+    if fs.get_file_info(own).type == pafs.FileType.Directory:
+        fs.delete_dir(own)
+    if (fs.get_file_info(top).type == pafs.FileType.Directory
+            and not fs.get_file_info(pafs.FileSelector(top, allow_not_found=True))):
+        fs.delete_dir(top)
+
+
 def list_files(path: str, suffix_contains: str = "") -> list[str]:
     from pyarrow import fs as pafs
 

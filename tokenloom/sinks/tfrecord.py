@@ -22,7 +22,7 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWrit
                                     WriterCommitMessage)
 
 from tokenloom.session import ship_package
-from tokenloom.sinks.fs import filesystem, join, list_files
+from tokenloom.sinks.fs import clear_job, filesystem, join, list_files
 
 
 # --- CRC-32C (Castagnoli), reflected polynomial 0x82F63B78 ----------------
@@ -202,9 +202,9 @@ class TFRecordWriter(DataSourceWriter):
         pid = ctx.partitionId() if ctx else 0
         attempt = ctx.attemptNumber() if ctx else 0
         fs, root = filesystem(self.path)
-        tmp_dir = join(root, "_temporary")
+        tmp_dir = join(root, "_temporary", self.job)
         fs.create_dir(tmp_dir, recursive=True)
-        tmp = join(tmp_dir, f"{self.job}-{pid:05d}-{attempt}.tfrecords")
+        tmp = join(tmp_dir, f"{pid:05d}-{attempt}.tfrecords")
         rows = 0
         with fs.open_output_stream(tmp, compression=None) as out:
             for row in iterator:
@@ -217,15 +217,18 @@ class TFRecordWriter(DataSourceWriter):
         parts = sorted((m for m in messages if m is not None), key=lambda m: m.part)
         total = sum(m.rows for m in parts)
         n = len(parts)
-        for i, m in enumerate(parts):
-            base = f"{self.name_prefix}_{total}.tfrecords"
-            fs.move(m.tmp, join(root, base if n == 1 else f"{base}-{i:05d}-of-{n:05d}"))
-        fs.delete_dir_contents(join(root, "_temporary"), missing_dir_ok=True)
-        fs.delete_dir(join(root, "_temporary"))
+        base = f"{self.name_prefix}_{total}.tfrecords"
+        names = [join(root, base if n == 1 else f"{base}-{i:05d}-of-{n:05d}") for i in range(n)]
+        if any(fs.get_file_info(x).type.name != "NotFound" for x in names):
+            # an earlier job wrote as many records under this name: keep both
+            names = [f"{x.removesuffix('.tfrecords')}-{self.job}.tfrecords" for x in names]
+        for m, name in zip(parts, names):
+            fs.move(m.tmp, name)
+        clear_job(fs, root, self.job)
 
     def abort(self, messages) -> None:
         fs, root = filesystem(self.path)
-        fs.delete_dir_contents(join(root, "_temporary"), missing_dir_ok=True)
+        clear_job(fs, root, self.job)
 
 
 class TFRecordReader(DataSourceReader):

@@ -29,16 +29,20 @@ def resolve_archive_files(spark: SparkSession, path: str, suffix: str = ARCHIVE_
     folder (glob ``*jsonl.zst``, not recursive).  Listing is metadata only."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
-        raise FileNotFoundError(f"No such file or directory: {path}")
+        raise FileNotFoundError(f"archive path {path} does not exist")
     if fs.getFileStatus(p).isDirectory():
         statuses = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
             path.rstrip("/") + f"/*{suffix}")) or []
         files = sorted(str(s.getPath().toString()) for s in statuses if s.isFile())
         if not files:
-            raise ValueError(f"No files with supported types found in directory: {path}")
+            raise ValueError(f"folder {path} holds no archive (names ending in {suffix})")
+        # Spark's readers pass over such names without a word
+        hidden = [f for f in files if f.rsplit("/", 1)[-1].startswith(("_", "."))]
+        if hidden:
+            raise ValueError(f"archives with hidden names cannot be read, rename them: {hidden[:5]}")
         return files
     if not path.endswith(suffix):
-        raise ValueError(f"Input file type must be one of: ['{suffix}']")
+        raise ValueError(f"archive {path} does not end in {suffix}")
     return [str(p.toString())]
 
 
@@ -50,7 +54,7 @@ def read_archive(spark: SparkSession, path: str | Iterable[str], with_row_index:
     """
     paths = [path] if isinstance(path, str) else list(path)
     files = [f for p in paths for f in resolve_archive_files(spark, p)]
-    df = spark.read.schema("text string").json(files)
+    df = spark.read.schema("text string").option("mode", "FAILFAST").json(files)
     if not with_row_index:
         return df.select(F.col("_metadata.file_name").alias("file"), "text")
     tagged = tag_scan_position(df)
@@ -75,9 +79,9 @@ _EXTENSIONS = ("csv", "json", "txt")
 def _read_one(spark: SparkSession, path: str, keep_linebreaks: bool) -> DataFrame:
     ext = path.rsplit(".", 1)[-1]
     if ext not in _EXTENSIONS:
-        raise ValueError(f"file should be a csv, a json or a txt file: {path}")
+        raise ValueError(f"{path}: extension {ext!r} is none of {', '.join(_EXTENSIONS)}")
     if ext == "csv":
-        return spark.read.option("header", True).option("multiLine", True).csv(path)
+        return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     if ext == "json":
         return spark.read.json(path)
     lines = spark.read.text(path)                       # S5
@@ -94,7 +98,7 @@ def read_split_files(spark: SparkSession, train_file: str | None = None,
         if path is not None:
             parts.append(_read_one(spark, path, keep_linebreaks).withColumn("split", F.lit(split)))
     if not parts:
-        raise ValueError("Need either a training or a validation file.")
+        raise ValueError("neither train_file nor validation_file is given")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
