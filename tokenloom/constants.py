@@ -28,10 +28,8 @@ DEFAULT_VALIDATION_PERCENT = 5
 
 # rows per range bucket used by the two-level dense index
 DEFAULT_BUCKET_ROWS = 1 << 16
-# largest vocabulary that is broadcast for encoding; above it a salted
-# shuffle join is used
-VOCAB_BROADCAST_MAX_ROWS = 4_000_000
-# salt fan-out for the shuffle join of hot tokens
-VOCAB_SALT = 32
+# most frequent tokens that every task holds for encoding (at most 65 bytes
+# each); the others are joined
+VOCAB_HEAD_ROWS = 1 << 19
 # largest number of row indexes per line of a text index file
 INDEX_TEXT_CHUNK = 1_000_000

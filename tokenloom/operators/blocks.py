@@ -62,14 +62,17 @@ def _exclusive_prefix_sum(df: DataFrame, value_col: str, order_col: str, partiti
 
 def pack_blocks(df: DataFrame, block_size: int, batch_rows: int | None = DEFAULT_BATCH_ROWS,
                 split_col: str = "split", order_col: str = "row_idx", keep_short: bool = True,
-                bucket_rows: int = DEFAULT_BUCKET_ROWS, dense_col: str | None = None) -> DataFrame:
+                bucket_rows: int = DEFAULT_BUCKET_ROWS, dense_col: str | None = None,
+                rows: DataFrame | None = None) -> DataFrame:
     """B1 (+F11, O5): ``(split, batch_id, block_id, input_ids, attention_mask,
     labels)``.
 
     ``order_col`` orders records inside a split (integral, unique); when
     ``dense_col`` names an existing dense 0-based position it is used as is.
     ``keep_short=False`` drops the short block of a batch shorter than one
-    block (what a strict block-size check wants).
+    block (what a strict block-size check wants).  ``rows`` may give the
+    table's ``(split, order_col)`` from a cheaper source (a landed table
+    before encoding), so that counting them does not compute ``df``.
     """
     if block_size <= 0:
         raise ValueError("block_size must be positive")
@@ -78,7 +81,7 @@ def pack_blocks(df: DataFrame, block_size: int, batch_rows: int | None = DEFAULT
         df.select(split_col, order_col, dense_col, *cols)
     if dense_col is None:
         dense_col = "_dense"
-        d = dense_index(d, order_col, [split_col], dense_col, bucket_rows)
+        d = dense_index(d, order_col, [split_col], dense_col, bucket_rows, rows=rows)
     d = d.withColumn("batch_id", batch_of(dense_col, batch_rows))
     d = d.withColumn("_len", (F.size("input_ids") + 1).cast("bigint"))
     for c in cols:

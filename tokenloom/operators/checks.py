@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.constants import IGNORE_LABEL
 from tokenloom.functions.arrays import first_unmasked_segment
+from tokenloom.operators.vocab import decode
 
 
 def _count_if(cond) -> F.Column:
@@ -57,13 +58,16 @@ def require_only_token_columns(df: DataFrame, extra: Sequence[str] = ()) -> None
         raise ValueError(f"unexpected columns before blocks: {bad}")
 
 
-def block_report(blocks: DataFrame, block_size: int, split_col: str = "split") -> DataFrame:
+def block_report(blocks: DataFrame, block_size: int | None, split_col: str = "split",
+                 short_ok: bool = False) -> DataFrame:
     """C1, C4, C5 per split in one aggregate.
 
     ``len_mismatch``: rows whose ids, mask and labels lengths differ (C1);
     ``wrong_size``: rows not exactly ``block_size`` long (C4, over all rows,
-    not only the first); ``first_label_masked``: rows whose first label is
-    -100 (C5 is a property of the first sample only, so it is counted).
+    not only the first; with ``short_ok`` the only block of a short batch may
+    be shorter; without a size it is 0); ``first_label_masked``: rows whose
+    first label is -100 (C5 is a property of the first sample only, so it is
+    counted).
     """
     n_ids = F.size("input_ids")
     mism = (n_ids != F.size("attention_mask"))
@@ -72,18 +76,21 @@ def block_report(blocks: DataFrame, block_size: int, split_col: str = "split") -
         first_masked = _count_if(F.get(F.col("labels"), 0) == F.lit(IGNORE_LABEL))
     else:
         first_masked = F.lit(None).cast("bigint")
+    wrong = F.lit(False) if block_size is None else n_ids != F.lit(block_size)
+    if short_ok:
+        wrong = wrong & ~((n_ids < F.lit(block_size)) & (F.col("block_id") == 0))
     return blocks.groupBy(split_col).agg(
         F.count(F.lit(1)).alias("n_blocks"),
         _count_if(mism).alias("len_mismatch"),
-        _count_if(n_ids != F.lit(block_size)).alias("wrong_size"),
+        _count_if(wrong).alias("wrong_size"),
         first_masked.alias("first_label_masked"))
 
 
-def check_blocks(blocks: DataFrame, block_size: int, split_col: str = "split",
-                 require_train: bool = True) -> dict:
+def check_blocks(blocks: DataFrame, block_size: int | None, split_col: str = "split",
+                 require_train: bool = True, short_ok: bool = False, labels: bool = True) -> dict:
     """C3 + C1/C4 as hard errors; returns the report rows as a dict."""
-    require_columns(blocks, [split_col, "input_ids", "attention_mask", "labels"])
-    rows = {r[split_col]: r.asDict() for r in block_report(blocks, block_size, split_col).collect()}
+    require_columns(blocks, [split_col, "input_ids", "attention_mask", *(["labels"] if labels else [])])
+    rows = {r[split_col]: r.asDict() for r in block_report(blocks, block_size, split_col, short_ok).collect()}
     if require_train and "train" not in rows:
         raise ValueError("no train split")
     for split, r in rows.items():
@@ -95,8 +102,16 @@ def check_blocks(blocks: DataFrame, block_size: int, split_col: str = "split",
 
 
 def first_sample(blocks: DataFrame, split_col: str = "split", split: str = "train",
-                 order: Sequence[str] = ("batch_id", "block_id")) -> DataFrame:
-    """The first block of a split with its first unmasked segment."""
+                 order: Sequence[str] = ("batch_id", "block_id"), vocab: DataFrame | None = None) -> DataFrame:
+    """The first block of a split with its first unmasked segment, both
+    decoded (``decoded``, ``segment``) if a vocabulary is given."""
     start, end = first_unmasked_segment("labels")
-    return (blocks.where(F.col(split_col) == split).orderBy(*order).limit(1)
-                  .withColumn("seg_start", start).withColumn("seg_end", end))
+    one = (blocks.where(F.col(split_col) == split).orderBy(*order).limit(1)
+                 .withColumn("seg_start", start).withColumn("seg_end", end))
+    if vocab is None:
+        return one
+    seg = F.slice("labels", F.col("seg_start") + 1, F.col("seg_end") - F.col("seg_start"))
+    both = one.withColumn("_seg", seg).withColumn("_ids", F.col("input_ids"))
+    for ids, out in (("_ids", "decoded"), ("_seg", "segment")):
+        both = decode(both, vocab, [split_col, *order], ids, out)
+    return both

@@ -67,19 +67,21 @@ def file_row_index(tagged: DataFrame, out_col: str = "row_idx") -> DataFrame:
 
 def dense_index(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (),
                 out_col: str = "dense_idx", bucket_rows: int = DEFAULT_BUCKET_ROWS,
-                bucket_col: str | None = None) -> DataFrame:
+                bucket_col: str | None = None, rows: DataFrame | None = None) -> DataFrame:
     """O2: 0-based dense rank by an integral, unique ``order_col`` within each
     group of ``partition_cols``.
 
     Two levels: rows are put in buckets of ``bucket_rows`` consecutive order
     values, a small table of per-bucket counts gives each bucket's offset,
     and ``row_number`` runs inside a bucket only.  No task ever holds more
-    than one bucket of one group, whatever the size of the group.
+    than one bucket of one group, whatever the size of the group.  ``rows``:
+    the same rows' order and partition columns, if a cheaper table has them.
     """
     pcols = list(partition_cols)
     bkt = F.col(bucket_col) if bucket_col else F.floor(F.col(order_col) / F.lit(bucket_rows))
     t = df.withColumn("_bkt", bkt.cast("bigint"))
-    counts = t.groupBy(*pcols, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
+    narrow = t if rows is None else rows.withColumn("_bkt", bkt.cast("bigint"))
+    counts = narrow.groupBy(*pcols, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(*pcols).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
     j = t.join(offs, [*pcols, "_bkt"])

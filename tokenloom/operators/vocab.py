@@ -4,14 +4,9 @@ The vocabulary is a Spark job over the data: explode tokens, count per token
 (map-side partial counts, so hot tokens are combined before the shuffle),
 rank by count descending then token ascending.  Id 50256 is kept for EOS.
 
-Encoding is ``posexplode`` -> equi-join with the vocabulary -> regroup per
-record.  The vocabulary side is broadcast only after its row count has been
-checked; a larger vocabulary is joined by a shuffle in which every token is
-salted over ``VOCAB_SALT`` sub-keys, so that a token that fills a third of all
-positions still spreads over many tasks.  The regroup is keyed by the record
-key; every position of a record comes from the same input row, so the
-partial aggregate already holds whole records and the shuffle moves one row
-per record.
+Encoding looks every token up inside its row (see :mod:`lookup`).  The head
+is the ``VOCAB_HEAD_ROWS`` most frequent tokens, so a token of the tail fills
+at most one in ``VOCAB_HEAD_ROWS`` positions and no key of its join is hot.
 """
 
 from __future__ import annotations
@@ -21,9 +16,10 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.constants import EOS_ID, MARKER, UNKNOWN_ID, VOCAB_BROADCAST_MAX_ROWS, VOCAB_SALT
+from tokenloom.constants import EOS_ID, MARKER, UNKNOWN_ID, VOCAB_HEAD_ROWS
 from tokenloom.functions.arrays import attention_mask
 from tokenloom.functions.text import marker_tokens, tokenize
+from tokenloom.operators.lookup import SHORT_BYTES, Head, make_head, map_array, short_key
 from tokenloom.operators.rowindex import ordered_index
 
 
@@ -65,59 +61,25 @@ def build_vocabulary(tokens_df: DataFrame, tokens_col: str = "tokens",
     return ranked.select("token", "n", id_of_rank("rank").alias("id"))
 
 
-def vocabulary_rows(vocab: DataFrame) -> int:
-    """Row count of a vocabulary (one small job); pass it to :func:`encode`
-    when encoding many tables with the same vocabulary."""
-    return vocab.count()
+def vocabulary_head(vocab: DataFrame, head_rows: int = VOCAB_HEAD_ROWS) -> Head:
+    """The most frequent ``head_rows`` tokens (ids go by frequency), each as a
+    key of bounded size, ready for :func:`encode`.  Make it once to encode
+    many tables with the same vocabulary."""
+    return make_head(_by_token(vocab), F.col("value").between(0, head_rows - 1))
 
 
-def _vocab_side(vocab: DataFrame, key: str, value: str, max_broadcast_rows: int,
-                n_rows: int | None = None):
-    """Return (lookup table, salted?) after checking the vocabulary size."""
-    n = vocab.count() if n_rows is None else n_rows
-    small = vocab.select(F.col(key).alias("_k"), F.col(value).alias("_v"))
-    if n <= max_broadcast_rows:
-        return F.broadcast(small), False
-    salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(VOCAB_SALT - 1))))
-    return salted, True
-
-
-def _lookup_regroup(df: DataFrame, key_cols: Sequence[str], arr_col: str, vocab: DataFrame,
-                    key: str, value: str, out_col: str, max_broadcast_rows: int,
-                    n_rows: int | None = None) -> DataFrame:
-    """Map every element of ``arr_col`` through ``vocab`` (key -> value).
-
-    Other columns of ``df`` ride along as ``first()`` aggregates; they are
-    constant per key, and the partial aggregate collapses them before the
-    shuffle.  Keep them small: they are repeated per element in the task.
-    """
-    keys = list(key_cols)
-    carry = [c for c in df.columns if c not in keys and c != arr_col]
-    side, salted = _vocab_side(vocab, key, value, max_broadcast_rows, n_rows)
-    ex = df.select(*keys, *carry, F.posexplode_outer(arr_col).alias("_pos", "_k"))
-    if salted:
-        ex = ex.withColumn("_salt", F.pmod(F.coalesce(F.col("_pos"), F.lit(0)), F.lit(VOCAB_SALT)))
-        joined = ex.join(side, ["_k", "_salt"], "left")
-    else:
-        joined = ex.join(side, ["_k"], "left")
-    grouped = joined.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("_pos", "_v"))).alias("_pairs"),
-        *[F.first(c).alias(c) for c in carry])
-    return (grouped.withColumn(out_col, F.transform(F.filter("_pairs", lambda p: p["_pos"].isNotNull()),
-                                                    lambda p: p["_v"]))
-                   .drop("_pairs"))
+def _by_token(vocab: DataFrame) -> DataFrame:
+    return vocab.select(short_key("token").alias("key"), F.col("id").cast("int").alias("value"))
 
 
 def encode(df: DataFrame, vocab: DataFrame, key_cols: Sequence[str], tokens_col: str = "tokens",
-           out_col: str = "input_ids", with_mask: bool = True,
-           max_broadcast_rows: int = VOCAB_BROADCAST_MAX_ROWS, vocab_rows: int | None = None) -> DataFrame:
+           out_col: str = "input_ids", with_mask: bool = True, head: Head | None = None) -> DataFrame:
     """Token strings -> ``input_ids`` (``array<int>``), plus F4's
     ``attention_mask``.  ``key_cols`` must identify a row.  The tokens column
     is replaced; a token missing from the vocabulary gets ``UNKNOWN_ID``
     (count them with :func:`unknown_count`)."""
-    v = vocab.select("token", F.col("id").cast("int").alias("id"))
-    out = _lookup_regroup(df, key_cols, tokens_col, v, "token", "id", out_col, max_broadcast_rows,
-                          vocab_rows)
+    head = head or vocabulary_head(vocab)
+    out = map_array(df, key_cols, tokens_col, out_col, _by_token(vocab), head, "string", "int")
     out = out.withColumn(out_col, F.transform(out_col, lambda x: F.coalesce(x, F.lit(UNKNOWN_ID))))
     if with_mask:
         out = out.withColumn("attention_mask", attention_mask(out_col))
@@ -130,11 +92,12 @@ def unknown_count(ids_col: str = "input_ids") -> F.Column:
 
 
 def decode(df: DataFrame, vocab: DataFrame, key_cols: Sequence[str], ids_col: str = "input_ids",
-           out_col: str = "decoded", sep: str = " ",
-           max_broadcast_rows: int = VOCAB_BROADCAST_MAX_ROWS) -> DataFrame:
+           out_col: str = "decoded", sep: str = " ", head_rows: int = VOCAB_HEAD_ROWS) -> DataFrame:
     """ids -> tokens joined by ``sep`` (EOS and unknown ids are left out)."""
-    v = vocab.select(F.col("id").cast("int").alias("id"), "token")
-    out = _lookup_regroup(df, key_cols, ids_col, v, "id", "token", "_tok", max_broadcast_rows)
+    v = vocab.select(F.col("id").cast("int").alias("key"), F.col("token").alias("value"))
+    head = make_head(v, F.col("key").between(0, head_rows - 1) & (F.octet_length("value") <= SHORT_BYTES))
+    ids = df.withColumn(ids_col, F.filter(ids_col, lambda x: ~x.isin(EOS_ID, UNKNOWN_ID)))
+    out = map_array(ids, key_cols, ids_col, "_tok", v, head, "int", "string")
     return out.withColumn(out_col, F.array_join("_tok", sep)).drop("_tok")
 
 

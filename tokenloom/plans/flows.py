@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 from tokenloom.constants import (DEFAULT_BATCH_ROWS, DEFAULT_BUCKET_ROWS, DEFAULT_MAX_TOKENS,
                                  DEFAULT_VALIDATION_PERCENT, MARKER)
 from tokenloom.functions.text import marker_tokens
-from tokenloom.operators.blocks import block_mode, build_blocks
-from tokenloom.operators.checks import quality_counts, require_columns
+from tokenloom.operators.blocks import TOKEN_COLS, block_mode, build_blocks
+from tokenloom.operators.checks import check_blocks, quality_counts, require_columns, require_only_token_columns
 from tokenloom.operators.indexing import keep_indexed, reconcile, short_record_index
 from tokenloom.operators.marker import (drop_flagged, effective_block_size, flag_records, length_filter,
                                         text_column, with_labels, with_marker_index)
 from tokenloom.operators.rowindex import ordered_index, positional_split, require_dense
-from tokenloom.operators.vocab import build_vocabulary, encode, with_tokens
+from tokenloom.operators.vocab import build_vocabulary, encode, pattern_ids, with_tokens
+from tokenloom.session import land
 
 
 # --------------------------------------------------------------------------
@@ -39,13 +40,15 @@ def archive_to_token_table(records: DataFrame, key_cols=("file", "row_idx"),
     ``(token_table, counters, vocab)``; ``counters`` is A1 over all records.
 
     Flags and lengths are decided on token strings; only kept records are
-    encoded.  ``keep_flags`` keeps every record with its flags instead.
+    encoded.  ``keep_flags`` keeps every record with its flags instead.  The
+    records are read and tokenized once: the flagged tokens are landed, and
+    the vocabulary, the counters and the encoding read that table.
     """
     keys = list(key_cols)
     t = with_tokens(records.select(*keys, "text")).drop("text")
+    flagged = land(flag_records(t, marker_tokens(marker), max_tokens, inclusive=True), "tokens")
     if vocab is None:
-        vocab = build_vocabulary(t)
-    flagged = flag_records(t, marker_tokens(marker), max_tokens, inclusive=True)
+        vocab = build_vocabulary(flagged.select("tokens"))
     counters = quality_counts(flagged)
     kept = flagged if keep_flags else drop_flagged(flagged)
     kept = kept.select(*keys, "tokens", "dff_idx", *(["invalid", "without_dff"] if keep_flags else []))
@@ -77,6 +80,7 @@ class BlockConfig:
     batch_rows: int | None = DEFAULT_BATCH_ROWS
     validation_percent: float = DEFAULT_VALIDATION_PERCENT
     keep_short: bool = True
+    check: bool = True                     # land the blocks and check them all
     bucket_rows: int = DEFAULT_BUCKET_ROWS
     marker: str = MARKER
 
@@ -88,43 +92,55 @@ def prepare_training_blocks(df: DataFrame, cfg: BlockConfig, vocab: DataFrame |
     validation split the first ``validation_percent`` % become validation
     (P8), which needs an order column that is dense over the whole table
     (``global_index`` makes one of ``(file, row_idx)``).  Returns
-    ``(blocks, vocab)``.
+    ``(blocks, vocab)``; blocks that break a check raise.
     """
     block = effective_block_size(cfg.block_size, cfg.max_length)
     mode = block_mode(cfg.ignore_long_samples, cfg.concatenate_texts, cfg.skip_concat)
     if "split" not in df.columns or df.where(F.col("split") == "validation").isEmpty():
         df = positional_split(df, order_col, cfg.validation_percent, require_dense(df, order_col)).drop("split_idx")
+    keys = ["split", order_col]
     tokenized = "input_ids" in df.columns                         # P9
     if not tokenized:
         txt = text_column(df)
-        t = with_tokens(df.select("split", order_col, F.col(txt).alias("text"))).drop("text")
+        t = with_tokens(df.select(*keys, F.col(txt).alias("text"))).drop("text")
+        if cfg.train_diff_model:                                   # marker on token strings
+            t = with_marker_index(t, marker_tokens(cfg.marker), "tokens")
+        t = land(t.withColumn("n_tokens", F.size("tokens")), "tokens")      # tokenized once
         if vocab is None:                    # ids come from all records, not the kept ones
-            vocab = build_vocabulary(t)
+            vocab = build_vocabulary(t.select("tokens"))
         if cfg.ignore_long_samples:                                # P2 on token strings
-            t = length_filter(t, block, "tokens")
-        if cfg.train_diff_model:                                   # marker on token strings
-            t = with_marker_index(t, marker_tokens(cfg.marker), "tokens").where(F.col("dff_idx").isNotNull())
-        t = encode(t, vocab, ["split", order_col])
+            t = t.where(F.col("n_tokens") < block)
+        if cfg.train_diff_model:
+            t = t.where(F.col("dff_idx").isNotNull())
+        rows = t.select(*keys)
+        t = encode(t.drop("n_tokens"), vocab, keys)
     else:
         require_columns(df, ["attention_mask"])
         t = df
         if cfg.ignore_long_samples:                                # always before padding
             t = length_filter(t, block, "input_ids")
+        rows = t.select(*keys)
     if cfg.train_diff_model and (cfg.force_label or "labels" not in t.columns):
         if "dff_idx" not in t.columns:
             if vocab is None:
                 raise ValueError("a vocabulary is needed to find the marker in token ids")
-            from tokenloom.operators.vocab import pattern_ids
             t = with_marker_index(t, pattern_ids(vocab, marker_tokens(cfg.marker)), "input_ids")
             t = t.where(F.col("dff_idx").isNotNull())
+            rows = t.select(*keys)
         t = with_labels(t)
-    keep = [c for c in ("input_ids", "attention_mask", "labels") if c in t.columns]
-    t = t.select("split", order_col, *keep)
+    t = t.drop("dff_idx")
+    if tokenized:
+        t = t.select(*keys, *[c for c in TOKEN_COLS if c in t.columns])
+    require_only_token_columns(t, keys)                            # C2
     if mode == "concat":
         out = build_blocks(t, block, "concat", batch_rows=cfg.batch_rows, order_col=order_col,
-                           keep_short=cfg.keep_short, bucket_rows=cfg.bucket_rows)
+                           keep_short=cfg.keep_short, bucket_rows=cfg.bucket_rows, rows=rows)
     else:
         out = build_blocks(t, block, mode)
+    if cfg.check:                                                  # C1, C3, C4 over all blocks
+        out = land(out, "blocks")
+        check_blocks(out, None if mode == "skip" else block, short_ok=mode == "concat" and cfg.keep_short,
+                     labels=cfg.train_diff_model)
     return out, vocab
 
 

@@ -26,7 +26,7 @@ from tokenloom.operators.rowindex import (cap_rows, chunk_id, cut_at_wraparound,
 from tokenloom.operators.vocab import build_vocabulary, decode, encode, with_tokens
 from tokenloom.plans.flows import archive_to_token_table, index_filter_pass1
 from tokenloom.plans.records import diff_records, documents, table
-from tokenloom.session import scratch_path
+from tokenloom.session import land, scratch_path
 
 # query parameters (the SQL twins use the same numbers)
 LIMIT_N = 512            # length filters
@@ -71,23 +71,28 @@ def _vocab(spark: SparkSession, sf: str) -> DataFrame:
 
 def _masked_all(spark: SparkSession, sf: str, vocab: DataFrame | None = None) -> DataFrame:
     """Every record: ``doc_id, n_tokens, dff_idx, input_ids, attention_mask, labels``."""
-    t = _records_tokens(spark, sf)
+    t = land(_records_tokens(spark, sf), "tokens")
     vocab = vocab if vocab is not None else build_vocabulary(t.select("tokens"))
     t = with_marker_index(t.withColumn("n_tokens", n_of("tokens")), marker_tokens(MARKER))
     enc = encode(t.select("doc_id", "n_tokens", "dff_idx", "tokens"), vocab, ["doc_id"])
     return with_labels(enc)
 
 
-def _pack_input(spark: SparkSession, sf: str, max_tokens: int) -> DataFrame:
+def _pack_input(spark: SparkSession, sf: str, max_tokens: int) -> tuple[DataFrame, DataFrame]:
     """Trainer preprocessing before blocks: records with fewer than
-    ``max_tokens`` tokens and a marker, encoded and masked, one split."""
-    t = _records_tokens(spark, sf)
+    ``max_tokens`` tokens and a marker, encoded and masked, one split; and
+    the same rows' ``(split, row_idx)`` from the landed tokens."""
+    t = _records_tokens(spark, sf).withColumn("n_tokens", F.size("tokens"))
+    t = land(with_marker_index(t, marker_tokens(MARKER)).drop("source"), "tokens")
     vocab = build_vocabulary(t.select("tokens"))
-    t = length_filter(t, max_tokens, "tokens")
-    t = with_marker_index(t, marker_tokens(MARKER)).where(F.col("dff_idx").isNotNull())
-    enc = encode(t.select("doc_id", "dff_idx", "tokens"), vocab, ["doc_id"])
-    return (with_labels(enc).drop("dff_idx")
-            .withColumn("split", F.lit("train")).withColumnRenamed("doc_id", "row_idx"))
+    t = t.where((F.col("n_tokens") < max_tokens) & F.col("dff_idx").isNotNull())
+    t = t.select(F.lit("train").alias("split"), F.col("doc_id").alias("row_idx"), "dff_idx", "tokens")
+    return with_labels(encode(t, vocab, ["row_idx"])).drop("dff_idx"), t.select("split", "row_idx")
+
+
+def _packed(spark: SparkSession, sf: str, max_tokens: int, block: int, batch: int) -> DataFrame:
+    df, rows = _pack_input(spark, sf, max_tokens)
+    return pack_blocks(df, block, batch, rows=rows)
 
 
 def _block_out(b: DataFrame) -> DataFrame:
@@ -123,7 +128,7 @@ def q_vocabulary(spark, sf):
 
 
 def q_encode_ids(spark, sf):
-    t = _records_tokens(spark, sf)
+    t = land(_records_tokens(spark, sf), "tokens")
     vocab = build_vocabulary(t.select("tokens"))
     enc = encode(t.select("doc_id", "tokens"), vocab, ["doc_id"])
     return enc.select("doc_id", n_of("input_ids").alias("n_ids"), h("input_ids").alias("ids_md5"),
@@ -132,7 +137,7 @@ def q_encode_ids(spark, sf):
 
 
 def q_decode_text(spark, sf):
-    t = _records_tokens(spark, sf)
+    t = land(_records_tokens(spark, sf), "tokens")
     vocab = build_vocabulary(t.select("tokens"))
     enc = encode(t.select("doc_id", "tokens"), vocab, ["doc_id"], with_mask=False)
     dec = decode(enc, vocab, ["doc_id"], "input_ids", "decoded")
@@ -150,7 +155,7 @@ def q_length_filter_inclusive(spark, sf):
 
 
 def q_truncate_ids(spark, sf):
-    t = _records_tokens(spark, sf)
+    t = land(_records_tokens(spark, sf), "tokens")
     vocab = build_vocabulary(t.select("tokens"))
     enc = truncate_columns(encode(t.select("doc_id", "tokens"), vocab, ["doc_id"]), TRUNC_N)
     return enc.select("doc_id", n_of("input_ids").alias("n_ids"), h("input_ids").alias("ids_md5"),
@@ -199,15 +204,15 @@ def q_wraparound_cut(spark, sf):
 
 
 def q_pack_blocks(spark, sf):
-    return _block_out(pack_blocks(_pack_input(spark, sf, PACK_MAX), PACK_BLOCK, PACK_BATCH))
+    return _block_out(_packed(spark, sf, PACK_MAX, PACK_BLOCK, PACK_BATCH))
 
 
 def q_pack_short_batch(spark, sf):
-    return _block_out(pack_blocks(_pack_input(spark, sf, SHORT_MAX), SHORT_BLOCK, SHORT_BATCH))
+    return _block_out(_packed(spark, sf, SHORT_MAX, SHORT_BLOCK, SHORT_BATCH))
 
 
 def q_pad_left(spark, sf):
-    p = pad_blocks(_pack_input(spark, sf, PAD_BLOCK), PAD_BLOCK)
+    p = pad_blocks(_pack_input(spark, sf, PAD_BLOCK)[0], PAD_BLOCK)
     return p.select(F.col("row_idx").alias("doc_id"), n_of("input_ids").alias("n_ids"),
                     h("input_ids").alias("ids_md5"), h("attention_mask").alias("mask_md5"),
                     h("labels").alias("labels_md5"))
@@ -233,7 +238,7 @@ def q_block_size_large(spark, sf):
 
 
 def q_block_checks(spark, sf):
-    b = pack_blocks(_pack_input(spark, sf, PACK_MAX), PACK_BLOCK, PACK_BATCH)
+    b = _packed(spark, sf, PACK_MAX, PACK_BLOCK, PACK_BATCH)
     return block_report(b, PACK_BLOCK)
 
 
@@ -382,7 +387,7 @@ def q_final_table(spark, sf):
     """K2: the final block table is written once; a second write with
     different content is ignored (``mode("ignore")``)."""
     from tokenloom.sinks.tables import write_final
-    blocks = pack_blocks(_pack_input(spark, sf, PACK_MAX), PACK_BLOCK, PACK_BATCH)
+    blocks = _packed(spark, sf, PACK_MAX, PACK_BLOCK, PACK_BATCH)
     path = scratch_path(spark, "final")
     write_final(blocks, path)
     write_final(blocks.limit(0), path)          # already there: kept as it is
@@ -395,7 +400,7 @@ def q_chunk_files(spark, sf):
     """K1 + K3: the producer's token table in numbered chunks of ``CHUNK``
     records (token columns only); rewriting a chunk replaces it."""
     from tokenloom.sinks.tables import write_chunks
-    t = _records_tokens(spark, sf)
+    t = land(_records_tokens(spark, sf), "tokens")
     vocab = build_vocabulary(t.select("tokens"))
     f = flag_records(t, marker_tokens(MARKER), MAX_TOKENS, inclusive=True).where(~F.col("invalid"))
     enc = with_labels(encode(f.select("doc_id", "dff_idx", "tokens"), vocab, ["doc_id"]), max_tokens=MAX_TOKENS)

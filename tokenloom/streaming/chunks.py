@@ -16,19 +16,20 @@ from pyspark.sql import functions as F
 
 from tokenloom.constants import ARCHIVE_SUFFIX, DEFAULT_MAX_TOKENS, MARKER
 from tokenloom.functions.text import marker_tokens
+from tokenloom.operators.lookup import Head
 from tokenloom.operators.marker import drop_flagged, flag_records, with_labels
 from tokenloom.operators.rowindex import file_row_index
-from tokenloom.operators.vocab import encode, vocabulary_rows, with_tokens
+from tokenloom.operators.vocab import encode, vocabulary_head, with_tokens
 
 
 def mask_batch(batch: DataFrame, vocab: DataFrame, max_tokens: int = DEFAULT_MAX_TOKENS,
-               marker: str = MARKER, vocab_rows: int | None = None) -> DataFrame:
+               marker: str = MARKER, head: Head | None = None) -> DataFrame:
     """The stateless producer step on one table ``(file, row_idx, text)``:
     ``(file, row_idx, input_ids, attention_mask, labels)``."""
     t = with_tokens(batch).drop("text")
     t = drop_flagged(flag_records(t, marker_tokens(marker), max_tokens, inclusive=True))
     t = t.select("file", "row_idx", "tokens", "dff_idx")
-    enc = encode(t, vocab, ["file", "row_idx"], vocab_rows=vocab_rows)
+    enc = encode(t, vocab, ["file", "row_idx"], head=head)
     return with_labels(enc, max_tokens=max_tokens).drop("dff_idx")
 
 
@@ -36,7 +37,7 @@ def stream_masked(spark: SparkSession, archive_dir: str, vocab: DataFrame, out_d
                   checkpoint_location: str, max_tokens: int = DEFAULT_MAX_TOKENS,
                   max_files_per_trigger: int = 1, marker: str = MARKER) -> None:
     """Run the stream until every archive present is processed."""
-    n_vocab = vocabulary_rows(vocab)          # fixed before the stream starts
+    head = vocabulary_head(vocab)             # fixed before the stream starts
     src = (spark.readStream.schema("text string")
            .option("maxFilesPerTrigger", max_files_per_trigger)
            .option("pathGlobFilter", f"*{ARCHIVE_SUFFIX}")
@@ -49,7 +50,7 @@ def stream_masked(spark: SparkSession, archive_dir: str, vocab: DataFrame, out_d
         tagged = (batch.withColumn("_pid", F.spark_partition_id())
                        .withColumn("_mid", F.monotonically_increasing_id()))
         rows = file_row_index(tagged).select("file", "row_idx", "text")
-        out = mask_batch(rows, vocab, max_tokens, marker, n_vocab)
+        out = mask_batch(rows, vocab, max_tokens, marker, head)
         (out.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch={batch_id}"))
 
     q = (src.writeStream.foreachBatch(per_batch)
