@@ -7,9 +7,12 @@ from tokenloom.constants import UNKNOWN_ID
 from tokenloom.operators.indexing import reconcile
 from tokenloom.operators.marker import effective_block_size
 from tokenloom.operators.vocab import build_vocabulary, encode, unknown_count
-from tokenloom.plans.flows import BlockConfig, archive_to_token_table, global_index, prepare_training_blocks
+from tokenloom.plans.flows import (BlockConfig, archive_to_token_table, global_index, prepare_training_blocks,
+                                   two_pass_filter)
 from tokenloom.sinks.tfrecord import read_tfrecords, write_tfrecords
-from tokenloom.sources.files import read_split_files, resolve_archive_files
+from tokenloom.operators.checks import first_sample
+from tokenloom.sinks.archive import write_archive
+from tokenloom.sources.files import read_archive, read_split_files, resolve_archive_files
 
 
 def records(spark, n=60):
@@ -73,3 +76,35 @@ def test_tfrecord_append_keeps_rows(spark, tmp_dir):
     write_tfrecords(df, f"{tmp_dir}/tf")
     write_tfrecords(df, f"{tmp_dir}/tf")
     assert read_tfrecords(spark, f"{tmp_dir}/tf").count() == 4
+
+
+def test_two_pass_filter_resumes(spark, tmp_dir):
+    rec = records(spark, 30).withColumn("file", F.concat("file", F.lit(".jsonl.zst")))
+    rec = rec.withColumn("text", F.when(F.col("row_idx") % 2 == 0, F.concat("text", F.lit(" long" * 50))).otherwise(F.col("text")))
+    write_archive(rec.where("file < 'f2'"), f"{tmp_dir}/in", file_col="file", order_col="row_idx")
+    report = two_pass_filter(spark, f"{tmp_dir}/in", f"{tmp_dir}/ix", f"{tmp_dir}/out", 50)
+    assert sorted((r.file, r.out_rows, r.ok) for r in report.collect()) == [("f0.jsonl.zst", 5, True), ("f1.jsonl.zst", 5, True)]
+    write_archive(rec.where("file >= 'f2'"), f"{tmp_dir}/in", file_col="file", order_col="row_idx")
+    report = two_pass_filter(spark, f"{tmp_dir}/in", f"{tmp_dir}/ix", f"{tmp_dir}/out", 50)
+    assert [r.file for r in report.collect()] == ["f2.jsonl.zst"]
+    kept = {(r.file, r.text) for r in read_archive(spark, f"{tmp_dir}/out").collect()}
+    assert kept == {(r.file, r.text) for r in rec.where("row_idx % 2 = 1").collect()}
+    with pytest.raises(ValueError, match="share a name"):
+        read_archive(spark, [f"{tmp_dir}/in", f"{tmp_dir}/out"])
+
+
+def test_training_checks_and_first_sample(spark):
+    cfg = BlockConfig(block_size=32, validation_percent=10, concatenate_texts=True, batch_rows=7)
+    df = records(spark).select((F.col("row_idx") * 3 + F.substring("file", 2, 1).cast("int")).alias("row_idx"), "text")
+    blocks, vocab = prepare_training_blocks(df, cfg)
+    one = first_sample(blocks, vocab=vocab).first()
+    assert one.segment.startswith("< DFF > d e 6") and one.segment in one.decoded
+    with pytest.raises(ValueError, match="no train split"):
+        prepare_training_blocks(df.withColumn("split", F.lit("validation")), cfg)
+
+
+def test_records_are_read_once(spark, tmp_dir):
+    table, counters, _ = archive_to_token_table(records(spark))
+    for df in (table, counters):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "regexp_extract_all" not in plan and "Scan json" not in plan, plan

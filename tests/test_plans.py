@@ -32,6 +32,13 @@ def test_pack_reuses_window_partitioning(spark):
     assert parts and not any("block_id" in p for p in parts), parts
 
 
+def test_rows_are_counted_without_the_arrays(spark):
+    df = spark.createDataFrame([("train", i, [i], [1], [i]) for i in range(50)], SCHEMA)
+    encoded = df.mapInArrow(lambda batches: batches, SCHEMA)
+    plan = _physical(pack_blocks(encoded, 4, batch_rows=10, rows=df.select("split", "row_idx")))
+    assert plan.count("MapInArrow") == 1, plan
+
+
 def test_scan_prunes_columns(spark, tmp_dir):
     spark.range(20).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"),
                            F.lit("y").alias("other")).write.parquet(f"{tmp_dir}/t")

@@ -3,8 +3,7 @@
 import pytest
 
 from oracle_check import compare
-from tokenloom.plans.oracle import ORACLE
-from tokenloom.plans.queries import QUERIES
+from tokenloom.plans.registry import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 

@@ -195,9 +195,12 @@ def cap_rows(df: DataFrame, cap: int | None, dense_col: str = "split_idx") -> Da
     return df if cap is None else df.where(F.col(dense_col) < F.lit(cap))
 
 
-def with_dense_split_index(df: DataFrame, order_col: str, split_col: str = "split",
-                           out_col: str = "split_idx",
-                           bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
-    """Dense position inside each split after filters (for P7 and O5)."""
-    return dense_index(df, order_col, [split_col], out_col, bucket_rows)
-
+def cap_sorted(df: DataFrame, cap: int, order_by: Sequence[str], split_col: str = "split") -> DataFrame:
+    """P7 after filters and packing, where no dense position exists: the
+    first ``cap`` rows of each split by ``order_by`` (unique in a split).
+    Only the key columns are sorted and ranked."""
+    keys = [split_col, *order_by]
+    ranked = ordered_index(df.select(*keys), [F.col(c) for c in keys], "_rank")
+    first = ranked.groupBy(split_col).agg(F.min("_rank").alias("_first"))      # one row per split
+    kept = ranked.join(F.broadcast(first), split_col).where(F.col("_rank") - F.col("_first") < cap)
+    return df.join(kept.select(*keys), keys, "left_semi")

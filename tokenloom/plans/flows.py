@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.constants import (DEFAULT_BATCH_ROWS, DEFAULT_BUCKET_ROWS, DEFAULT_MAX_TOKENS,
@@ -21,12 +21,15 @@ from tokenloom.constants import (DEFAULT_BATCH_ROWS, DEFAULT_BUCKET_ROWS, DEFAUL
 from tokenloom.functions.text import marker_tokens
 from tokenloom.operators.blocks import TOKEN_COLS, block_mode, build_blocks
 from tokenloom.operators.checks import check_blocks, quality_counts, require_columns, require_only_token_columns
-from tokenloom.operators.indexing import keep_indexed, reconcile, short_record_index
+from tokenloom.operators.indexing import files_to_process, keep_indexed, reconcile, short_record_index
 from tokenloom.operators.marker import (drop_flagged, effective_block_size, flag_records, length_filter,
                                         text_column, with_labels, with_marker_index)
 from tokenloom.operators.rowindex import ordered_index, positional_split, require_dense
 from tokenloom.operators.vocab import build_vocabulary, encode, pattern_ids, with_tokens
 from tokenloom.session import land
+from tokenloom.sinks.archive import write_archive
+from tokenloom.sinks.tables import write_index_text
+from tokenloom.sources.files import list_archives, read_archive, read_index_text
 
 
 # --------------------------------------------------------------------------
@@ -158,3 +161,20 @@ def index_filter_pass2(records: DataFrame, index: DataFrame):
     """E3 pass 2 + reconciliation: ``(kept rows, per-file report)``."""
     kept = keep_indexed(records, index)
     return kept, reconcile(records, kept, index)
+
+
+def two_pass_filter(spark: SparkSession, archive_dir: str, index_dir: str, out_dir: str,
+                    max_tokens: int = DEFAULT_MAX_TOKENS) -> DataFrame:
+    """E3 on archives: index files of the short records (K8), then the rows
+    at those positions written back as archives (K5).  Files that ``out_dir``
+    has already are left out (J2, J3), so a second call goes on where the
+    first one stopped.  Returns the per-file report of the files written."""
+    records = land(read_archive(spark, archive_dir), "records")
+    write_index_text(index_filter_pass1(records, max_tokens), index_dir)
+    index = read_index_text(spark, index_dir)
+    done = spark.createDataFrame([(f.rsplit("/", 1)[-1],) for f in list_archives(spark, out_dir)], "file string")
+    todo = files_to_process(records, index, done)
+    kept, report = index_filter_pass2(records.join(todo, "file", "left_semi"), index.join(todo, "file", "left_semi"))
+    report = land(report, "report")
+    write_archive(kept, out_dir, file_col="file", order_col="row_idx")
+    return report

@@ -66,10 +66,14 @@ BASE = f"WITH {REC},\n{TOK},\n{VOCAB},\n{ENC},\n{IDX}"
 
 
 def _pack_sql(max_tokens: int, block: int, batch: int, final: str, split: str = "'train'") -> str:
-    return f"""{BASE},
+    return _blocks_sql(f"""{BASE},
 kept AS (SELECT e.doc_id, e.ids, f.dff_idx FROM enc e JOIN fi f USING (doc_id)
          WHERE f.nt < {max_tokens} AND f.dff_idx IS NOT NULL),
-lab AS (SELECT doc_id, ids, {_labels('ids', 'dff_idx')} AS labels, {split} AS split FROM kept),
+lab AS (SELECT doc_id, ids, {_labels('ids', 'dff_idx')} AS labels, {split} AS split FROM kept)""", block, batch, final)
+
+
+def _blocks_sql(lab: str, block: int, batch: int, final: str) -> str:
+    return f"""{lab},
 d AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1 AS dense FROM lab),
 b AS (SELECT *, dense // {batch} AS batch_id, len(ids) + 1 AS len1 FROM d),
 s AS (SELECT *, CAST(coalesce(sum(len1) OVER (PARTITION BY split, batch_id ORDER BY dense
@@ -126,6 +130,8 @@ fl AS (SELECT doc_id, nt AS n_tokens, dff_idx IS NULL AS without_dff,
 COUNTS = """CAST(count(*) AS BIGINT) AS total,
        CAST(sum(CASE WHEN without_dff THEN 1 ELSE 0 END) AS BIGINT) AS without_dff,
        CAST(sum(CASE WHEN invalid THEN 1 ELSE 0 END) AS BIGINT) AS invalid"""
+SPLIT_OF = (f"CASE WHEN doc_id < CAST(round_even((SELECT count(*) FROM documents) * {q.PERCENT} / 100.0, 0) "
+            "AS BIGINT) THEN 'validation' ELSE 'train' END")
 SPLIT = f"""cut AS (SELECT CAST(round_even((SELECT count(*) FROM documents) * {q.PERCENT} / 100.0, 0) AS BIGINT) AS c),
 sp AS (SELECT doc_id,
               CASE WHEN doc_id < (SELECT c FROM cut) THEN 'validation' ELSE 'train' END AS split,
@@ -189,13 +195,11 @@ WHERE (SELECT s FROM stop) IS NULL OR row_idx < (SELECT s FROM stop)""",
     "block_checks": _pack_sql(q.PACK_MAX, q.PACK_BLOCK, q.PACK_BATCH, _BLOCK_CHECKS),
     "training_blocks": _pack_sql(
         q.PACK_BLOCK, q.PACK_BLOCK, q.PACK_BATCH, _BLOCK_ROWS,
-        split=f"CASE WHEN doc_id < CAST(round_even((SELECT count(*) FROM documents) * {q.PERCENT} / 100.0, 0) "
-              "AS BIGINT) THEN 'validation' ELSE 'train' END"),
+        split=SPLIT_OF),
 
     "block_size_large": _pack_sql(
         q.LARGE_BLOCK, q.LARGE_BLOCK, q.PACK_BATCH, _BLOCK_ROWS,
-        split=f"CASE WHEN doc_id < CAST(round_even((SELECT count(*) FROM documents) * {q.PERCENT} / 100.0, 0) "
-              "AS BIGINT) THEN 'validation' ELSE 'train' END"),
+        split=SPLIT_OF),
 
     "pad_left": f"""{BASE},
 kept AS (SELECT e.doc_id, e.ids, f.dff_idx FROM enc e JOIN fi f USING (doc_id)

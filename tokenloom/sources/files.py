@@ -8,6 +8,7 @@ read here is one multi-path Spark read carrying the file name).
 
 from __future__ import annotations
 
+from collections import Counter
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.constants import ARCHIVE_SUFFIX
 from tokenloom.operators.indexing import index_from_text
-from tokenloom.operators.rowindex import file_row_index, tag_scan_position
+from tokenloom.operators.rowindex import file_row_index, ordered_index, tag_scan_position
 
 
 def _fs(spark: SparkSession, path: str):
@@ -46,14 +47,25 @@ def resolve_archive_files(spark: SparkSession, path: str, suffix: str = ARCHIVE_
     return [str(p.toString())]
 
 
+def list_archives(spark: SparkSession, path: str) -> list[str]:
+    """S2 for a folder that may be missing or empty."""
+    fs, p = _fs(spark, path)
+    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + f"/*{ARCHIVE_SUFFIX}")) or []
+    return sorted(s.getPath().toString() for s in found)
+
+
 def read_archive(spark: SparkSession, path: str | Iterable[str], with_row_index: bool = True) -> DataFrame:
     """S1 + S9 (+O1): ``(file, row_idx, text)`` from one or many archives.
 
     One Spark read over all files; a zstd file cannot be split, so each file
     is read by one task in order, and ``row_idx`` is its position there.
+    ``file`` is the base name, so two archives of one name are an error.
     """
     paths = [path] if isinstance(path, str) else list(path)
     files = [f for p in paths for f in resolve_archive_files(spark, p)]
+    repeated = [n for n, k in Counter(f.rsplit("/", 1)[-1] for f in files).items() if k > 1]
+    if repeated:
+        raise ValueError(f"archives of different folders share a name: {sorted(repeated)[:5]}")
     df = spark.read.schema("text string").option("mode", "FAILFAST").json(files)
     if not with_row_index:
         return df.select(F.col("_metadata.file_name").alias("file"), "text")
@@ -76,32 +88,39 @@ def read_named(spark: SparkSession, name: str, config: str | None = None, root:
 _EXTENSIONS = ("csv", "json", "txt")
 
 
-def _read_one(spark: SparkSession, path: str, keep_linebreaks: bool) -> DataFrame:
+def _read_one(spark: SparkSession, path: str, keep_linebreaks: bool, ordered: bool = False) -> DataFrame:
     ext = path.rsplit(".", 1)[-1]
     if ext not in _EXTENSIONS:
         raise ValueError(f"{path}: extension {ext!r} is none of {', '.join(_EXTENSIONS)}")
     if ext == "csv":
-        return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    if ext == "json":
-        return spark.read.json(path)
-    lines = spark.read.text(path)                       # S5
-    text = F.concat(F.col("value"), F.lit("\n")) if keep_linebreaks else F.col("value")
-    return lines.select(text.alias("text"))
+        df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    else:
+        df = spark.read.json(path) if ext == "json" else spark.read.text(path)
+    if ordered:
+        df = file_row_index(tag_scan_position(df), "_in_file")
+    if ext != "txt":
+        return df
+    text = F.concat(F.col("value"), F.lit("\n")) if keep_linebreaks else F.col("value")      # S5
+    return df.select(text.alias("text"), *[c for c in df.columns if c != "value"])
 
 
 def read_split_files(spark: SparkSession, train_file: str | None = None,
-                     validation_file: str | None = None, keep_linebreaks: bool = True) -> DataFrame:
+                     validation_file: str | None = None, keep_linebreaks: bool = True,
+                     order_col: str | None = None) -> DataFrame:
     """S4 (+S5): CSV / JSON / TXT files for the train and/or validation
-    split, as one table with a ``split`` column."""
+    split, as one table with a ``split`` column.  ``order_col`` adds one
+    dense 0-based index by split, file and position in the file."""
     parts = []
     for split, path in (("train", train_file), ("validation", validation_file)):
         if path is not None:
-            parts.append(_read_one(spark, path, keep_linebreaks).withColumn("split", F.lit(split)))
+            parts.append(_read_one(spark, path, keep_linebreaks, order_col is not None).withColumn("split", F.lit(split)))
     if not parts:
         raise ValueError("neither train_file nor validation_file is given")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
+    if order_col is not None:
+        out = ordered_index(out, [F.col("split"), F.col("file"), F.col("_in_file")], order_col).drop("file", "_in_file")
     return out
 
 
