@@ -67,6 +67,18 @@ def test_html_text():
     assert html.main_text("<div>" * 3000 + "x" + "</div>" * 3000) == "x"
 
 
+@pytest.mark.parametrize("label", [
+    'class="post type-post category-news tag-economy"', 'class="content has-sidebar"', 'class="with-sidebar"', 'class="col-side"', 'class="article-header"',
+    'id="legal-news"', 'class="header"', 'data-id="menu" data-role="nav"', 'title=\' class="ad"\''])
+def test_html_article_in_a_wrapper_with_a_label(label):
+    text = "A long sentence of the article that goes on for a while, with enough words. " * 5
+    page = f"""<body><div class="sidebar-left"><p>Elsewhere on this site</p></div><div {label}><h1>Title</h1><p>{text}</p><p>{text}</p>
+    <div class="related-posts"><p>Another story</p></div><div class="comments"><p>{text * 9}</p></div></div><div class="ad">Buy</div></body>"""
+    assert html.main_text(page) == "\n".join(["Title", text.strip(), text.strip()])
+    small = f"<div><div {label}><h1>Title</h1></div><p>{text}</p><p>{text}</p></div>"   # here a whole name decides
+    assert html.main_text(small) == "\n".join(["Title"] * (label != 'class="header"') + [text.strip()] * 2)
+
+
 def test_html_keeps_whole_articles(spark):
     import re
     from html import unescape

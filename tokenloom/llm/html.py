@@ -15,8 +15,9 @@ furniture is denser in links than the article), is the article, so blocks
 beside the heart are not lost.
 
 Furniture is told by element (nav, header, footer, aside, form, ...) or by a
-word of class, id or role (ad, menu, sidebar, cookie, comment, ...).  It
-counts as link text in the densities, is never chosen, and is left out of the
+whole name in class, id or role (ad, menu, sidebar-left, comments, ...).  A
+name does not decide for an element with most of the body's text outside
+links, except names of ads, readers' comments and cookie notices.  Furniture counts as link text in the densities, is never chosen, and is left out of the
 text.
 
 Text: character references decoded, white space in a block turned to one
@@ -53,24 +54,40 @@ SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
             "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
             "thead": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}),
             "option": ({"option"}, {"select"})}
-LABELS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promo(?:tion)?s?|banner|nav(?:bar|igation)?|menu|breadcrumbs?|sidebar|side|"
-    r"rail|widget|footer|header|masthead|cookies?|consent|notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|"
-    r"related|recommend(?:ed|ations)?|comments?|disqus|replies|reply|respond|pagination|pager|toolbar|skip|copyright|legal|disclaimer|tags?)(?:$|[\s_-]|\d)", re.I)
+# names of furniture in class, id and role; those of OTHERS tell whose text it is, however long
+OTHERS = r"ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|comments?|disqus|replies|reply|respond|cookies?|consent"
+LABEL_WORDS = (
+    r"promo(?:tion)?s?|banner|nav(?:bar|igation)?|menu|breadcrumbs?|sidebar|side|"
+    r"rail|widgets?|footer|header|masthead|notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|"
+    r"related|recommend(?:ed|ations)?|pagination|pager|toolbar|skip|copyright|legal|disclaimer|tags?|" + OTHERS)
+# words that may stand beside them in a name: "sidebar-left", "related-posts"
+PLACE_WORDS = r"site|top|bottom|left|right|inner|outer|wrap|wrapper|container|area|box|block|slot|unit|list|items?|section|links?|buttons?|icons?|bar|posts|primary|secondary|form|thread"
+_LABEL_NAME = re.compile(rf"(?=.*(?<![a-z])(?:{LABEL_WORDS})(?![a-z]))(?:{LABEL_WORDS}|{PLACE_WORDS}|\d+)\d*(?:[_-]+(?:{LABEL_WORDS}|{PLACE_WORDS}|\d+)\d*)*", re.I)
+_OTHERS_NAME = re.compile(rf"(?<![a-z])(?:{OTHERS})(?![a-z])", re.I)
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>?", re.S)
-_LABEL = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'=/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?|\"[^\"]*\"|'[^']*'")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _SPACE = re.compile(r"\s+")
 
 
+def attributes_of(tag: str) -> dict[str, str]:
+    """Attributes of a tag by lower-case name; the first of a name counts."""
+    found: dict[str, str] = {}
+    for name, a, b, c in _ATTRIBUTE.findall(tag):
+        if name:
+            found.setdefault(name.lower(), a or b or c)
+    return found
+
+
 class Node:
-    __slots__ = ("name", "parent", "items", "furniture", "silent", "chars", "tags", "link_chars", "link_tags", "density")
+    __slots__ = ("name", "parent", "items", "furniture", "labelled", "silent", "plain", "chars", "tags", "link_chars", "link_tags", "density")
 
     def __init__(self, name: str, parent: "Node | None", furniture: bool = False, silent: bool = False):
         self.name, self.parent, self.items = name, parent, []
         self.furniture, self.silent = furniture, silent
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
+        self.labelled = False   # furniture by a name only; ``settle`` decides
+        self.plain = self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = 0.0
 
 
@@ -118,9 +135,12 @@ def parse(page: str) -> Node:
                 if here is before or name not in ("thead", "tbody", "tr"):
                     break
         attributes = m[3]
-        labels = " ".join(a or b or c for a, b, c in _LABEL.findall(attributes)) if attributes else ""
-        furniture = name in FURNITURE or bool(labels and LABELS.search(labels)) and name not in ("article", "main")
+        given = attributes_of(attributes) if attributes else {}
+        labels = [] if name in ("article", "main") else [
+            t for k in ("class", "id", "role") for t in given.get(k, "").split() if _LABEL_NAME.fullmatch(t)]
+        furniture = name in FURNITURE or any(map(_OTHERS_NAME.search, labels))
         node = Node(name, here, furniture, name in SILENT or bool(attributes and _HIDDEN.search(attributes)))
+        node.labelled = bool(labels) and not furniture
         here.items.append(node)
         if name in VOID or attributes.endswith("/") and name not in INLINE | CLOSES_P:
             continue
@@ -133,6 +153,30 @@ def parse(page: str) -> Node:
             here, depth = node, depth + 1
 
 
+def settle(root: Node) -> None:
+    """A name makes an element furniture unless the element holds most of the
+    body's text outside links and furniture elements."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        for item in node.items:
+            if isinstance(item, str):
+                node.plain += len(_SPACE.sub("", item))
+            elif not (item.silent or item.furniture or item.name == "a"):
+                stack.append(item)
+    for node in reversed(order):
+        if node.parent is not None:
+            node.parent.plain += node.plain
+    whole = root.plain
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node.labelled:
+            node.furniture = 2 * node.plain <= whole
+        stack.extend(x for x in node.items if not isinstance(x, str))
+
+
 def measure(root: Node) -> list[Node]:
     """Counts and densities of all nodes that can be content, parents first."""
     order, stack = [], [(root, False)]
@@ -165,6 +209,7 @@ def measure(root: Node) -> list[Node]:
 
 def article(root: Node) -> Node:
     """The subtree that holds the article."""
+    settle(root)
     order = measure(root)
     barred: set[int] = set()
     sums: dict[int, float] = {}
