@@ -79,6 +79,14 @@ def test_html_article_in_a_wrapper_with_a_label(label):
     assert html.main_text(small) == "\n".join(["Title"] * (label != 'class="header"') + [text.strip()] * 2)
 
 
+def test_html_hidden_is_an_attribute():
+    text = "A long sentence of the article that goes on for a while, with enough words."
+    page = f"""<article data-title="The hidden cost of x"><p title="A hidden gem">{text}</p><p data-x="display:none" alt='aria-hidden="true"'>{text}</p>
+    <p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> and <button>press</button> it.</p>
+    <p hidden>a</p><p HIDDEN="">b</p><p style="color:red; Display : none">c</p><p aria-hidden=true>d</p><button>Share</button></article>"""
+    assert html.main_text(page) == f"{text}\n{text}\nLet x=2 and press it."
+
+
 def test_html_keeps_whole_articles(spark):
     import re
     from html import unescape

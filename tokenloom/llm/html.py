@@ -21,8 +21,9 @@ links, except names of ads, readers' comments and cookie notices.  Furniture cou
 text.
 
 Text: character references decoded, white space in a block turned to one
-space, trimmed; blocks in page order, joined by one line break; nothing else
-is dropped.  Null or empty html, and pages without text: the empty string.
+space, trimmed; blocks in page order, joined by one line break.  Left out are
+elements hidden by ``hidden``, ``aria-hidden`` or ``display: none``, those of
+``SILENT``, and buttons that stand outside text blocks; nothing else is dropped.  Null or empty html, and pages without text: the empty string.
 Repeated rows and extra columns pass through; an empty table gives an empty
 result.  Parsing is linear in the page; nesting deeper than ``DEPTH`` is
 flattened (text and order stay).
@@ -45,9 +46,12 @@ DEPTH = 500
 # fixed values: elements of HTML by their role
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-SILENT = frozenset("script style noscript template head title svg math object iframe canvas audio video noembed noframes select textarea button".split())
+SILENT = frozenset("script style noscript template head title svg object iframe canvas audio video noembed noframes select textarea annotation annotation-xml".split())
 FURNITURE = frozenset("nav header footer aside form menu dialog fieldset".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br button "
+                   "math mrow mi mn mo ms mtext mspace mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mprescripts mstyle mpadded menclose merror mphantom semantics".split())
+# a button is text only inside one of these
+TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th blockquote pre summary figcaption caption".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
 # an opening tag closes the open element of these names, up to the given containers
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -67,7 +71,7 @@ _OTHERS_NAME = re.compile(rf"(?<![a-z])(?:{OTHERS})(?![a-z])", re.I)
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>?", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'=/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?|\"[^\"]*\"|'[^']*'")
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _SPACE = re.compile(r"\s+")
 
 
@@ -80,6 +84,10 @@ def attributes_of(tag: str) -> dict[str, str]:
     return found
 
 
+def hidden(given: dict[str, str]) -> bool:
+    return "hidden" in given or given.get("aria-hidden", "").strip().lower() == "true" or bool(_NO_DISPLAY.search(given.get("style", "")))
+
+
 class Node:
     __slots__ = ("name", "parent", "items", "furniture", "labelled", "silent", "plain", "chars", "tags", "link_chars", "link_tags", "density")
 
@@ -106,6 +114,12 @@ def parse(page: str) -> Node:
         if node is not root:
             here, depth = node.parent, depth - steps
 
+    def in_text() -> bool:
+        node = here
+        while node.name in INLINE and node is not root:
+            node = node.parent
+        return node.name in TEXT_BLOCKS
+
     search = _TOKEN.search
     while True:
         m = search(page, at)
@@ -139,7 +153,7 @@ def parse(page: str) -> Node:
         labels = [] if name in ("article", "main") else [
             t for k in ("class", "id", "role") for t in given.get(k, "").split() if _LABEL_NAME.fullmatch(t)]
         furniture = name in FURNITURE or any(map(_OTHERS_NAME.search, labels))
-        node = Node(name, here, furniture, name in SILENT or bool(attributes and _HIDDEN.search(attributes)))
+        node = Node(name, here, furniture, name in SILENT or hidden(given) or name == "button" and not in_text())
         node.labelled = bool(labels) and not furniture
         here.items.append(node)
         if name in VOID or attributes.endswith("/") and name not in INLINE | CLOSES_P:
