@@ -87,6 +87,13 @@ def test_html_hidden_is_an_attribute():
     assert html.main_text(page) == f"{text}\n{text}\nLet x=2 and press it."
 
 
+@pytest.mark.parametrize("opening", ["<div>", "<b>", "<blockquote><i>"])
+def test_html_furniture_below_deep_nesting(opening):
+    text = "A long sentence of the article that goes on for a while, with enough words."
+    for n in (600, 50000):
+        assert html.main_text(f"{opening * n}<p>{text}</p><nav>Home</nav><p hidden>gone</p><p>{text}</p>") == f"{text}\n{text}"
+
+
 def test_html_keeps_whole_articles(spark):
     import re
     from html import unescape

@@ -25,8 +25,7 @@ space, trimmed; blocks in page order, joined by one line break.  Left out are
 elements hidden by ``hidden``, ``aria-hidden`` or ``display: none``, those of
 ``SILENT``, and buttons that stand outside text blocks; nothing else is dropped.  Null or empty html, and pages without text: the empty string.
 Repeated rows and extra columns pass through; an empty table gives an empty
-result.  Parsing is linear in the page; nesting deeper than ``DEPTH`` is
-flattened (text and order stay).
+result.  Parsing is linear in the page, however deep it nests.
 """
 
 from __future__ import annotations
@@ -41,8 +40,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tokenloom.llm.tables import map_arrow, read
 
-DEPTH = 500
-
 # fixed values: elements of HTML by their role
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -89,10 +86,11 @@ def hidden(given: dict[str, str]) -> bool:
 
 
 class Node:
-    __slots__ = ("name", "parent", "items", "furniture", "labelled", "silent", "plain", "chars", "tags", "link_chars", "link_tags", "density")
+    __slots__ = ("name", "parent", "block", "items", "furniture", "labelled", "silent", "plain", "chars", "tags", "link_chars", "link_tags", "density")
 
     def __init__(self, name: str, parent: "Node | None", furniture: bool = False, silent: bool = False):
         self.name, self.parent, self.items = name, parent, []
+        self.block = name if parent is None or name not in INLINE else parent.block   # the nearest block's name
         self.furniture, self.silent = furniture, silent
         self.labelled = False   # furniture by a name only; ``settle`` decides
         self.plain = self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -102,23 +100,21 @@ class Node:
 def parse(page: str) -> Node:
     """The page's tree; ``items`` of a node are texts and nodes, in order."""
     root = here = Node("body", None)
-    depth, at = 0, 0
+    at = 0
+    opened: list[Node] = []             # from the body's child down to ``here``
+    places: dict[str, list[int]] = {}   # of a name's open elements in ``opened``
+
+    def innermost(names: Iterable[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
 
     def close(names: Iterable[str], stop: Iterable[str] = ()) -> None:
-        nonlocal here, depth
-        steps, node = 1, here
-        while node is not root and node.name not in names:
-            if node.name in stop:
-                return
-            node, steps = node.parent, steps + 1
-        if node is not root:
-            here, depth = node.parent, depth - steps
-
-    def in_text() -> bool:
-        node = here
-        while node.name in INLINE and node is not root:
-            node = node.parent
-        return node.name in TEXT_BLOCKS
+        nonlocal here
+        target = innermost(names)
+        if target < 0 or innermost(stop) > target:
+            return
+        here = opened[target].parent
+        while len(opened) > target:
+            places[opened.pop().name].pop()
 
     search = _TOKEN.search
     while True:
@@ -153,7 +149,7 @@ def parse(page: str) -> Node:
         labels = [] if name in ("article", "main") else [
             t for k in ("class", "id", "role") for t in given.get(k, "").split() if _LABEL_NAME.fullmatch(t)]
         furniture = name in FURNITURE or any(map(_OTHERS_NAME.search, labels))
-        node = Node(name, here, furniture, name in SILENT or hidden(given) or name == "button" and not in_text())
+        node = Node(name, here, furniture, name in SILENT or hidden(given) or name == "button" and here.block not in TEXT_BLOCKS)
         node.labelled = bool(labels) and not furniture
         here.items.append(node)
         if name in VOID or attributes.endswith("/") and name not in INLINE | CLOSES_P:
@@ -163,8 +159,9 @@ def parse(page: str) -> Node:
             node.items.append(page[at:end.start()])
             at = end.end()
             continue
-        if depth < DEPTH:
-            here, depth = node, depth + 1
+        places.setdefault(name, []).append(len(opened))
+        opened.append(node)
+        here = node
 
 
 def settle(root: Node) -> None:
