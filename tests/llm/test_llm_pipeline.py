@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_twins(spark):
-    assert len(QUERIES) == 11 and set(ORACLE) <= set(QUERIES)
+    assert len(QUERIES) == 14 and set(ORACLE) <= set(QUERIES)
     bad = {k: v for k, v in compare(spark, SF, list(ORACLE)).items() if v[0] != "OK"}
     assert not bad, bad
 

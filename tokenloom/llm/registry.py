@@ -11,7 +11,7 @@ from typing import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenloom.llm import bpe, html, jaccard, language, mixing, oracle, quality, rules, substring, tokencount, topk
+from tokenloom.llm import bpe, html, jaccard, language, merkle, mixing, oracle, packing, quality, rules, runs, substring, tokencount, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language.op1,
@@ -24,6 +24,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_codec": bpe.op8,
     "op9_substring_dedup": substring.op9,
     "op10_ngram_jaccard": jaccard.op10,
+    "op11_merkle_manifest": merkle.op11,
+    "op12_best_fit_packing": packing.op12,
+    "op13_periodic_runs": runs.op13,
     "pipeline": corpus_pipeline.run,
 }
 
