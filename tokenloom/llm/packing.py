@@ -37,6 +37,7 @@ import json
 import os
 import re
 import zlib
+from array import array
 from functools import lru_cache
 from typing import Iterable
 
@@ -115,9 +116,8 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.plain = re.compile(PLAIN).fullmatch if follows(json.loads(definition)) else lambda word: None
-        letter = {b: c for c, b in byte_of_character().items()}
-        model = self.tokenizer.model
-        self.parts = Remembered(lambda part: np.array([t.id for t in model.tokenize("".join([letter[b] for b in part.encode()]))], "<u4").tobytes())
+        letters, tokenize = {b: c for c, b in byte_of_character().items()}, self.tokenizer.model.tokenize
+        self.parts = Remembered(lambda part: array("I", [t.id for t in tokenize(part.encode().decode("latin-1").translate(letters))]).tobytes())
         self.store = WordStore()
 
     def word(self, word: str) -> bytes | None:
@@ -137,7 +137,7 @@ class WordEncoder:
         if others:
             encoded = self.tokenizer.encode_batch([words[k] for k in others], add_special_tokens=False)
             for k, e in zip(others, encoded):
-                out[k] = np.array(e.ids, "<u4").tobytes()
+                out[k] = array("I", e.ids).tobytes()
         return out
 
     def run(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
