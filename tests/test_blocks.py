@@ -88,6 +88,20 @@ def test_pack_global_batch_and_gaps(spark):
     assert got == model(records, 4, 6)
 
 
+def test_pack_in_many_parts(spark, monkeypatch):
+    """Parts of a few records, two splits, gaps, and blocks longer than a part."""
+    from tokenloom.operators import blocks
+    monkeypatch.setattr(blocks, "PART_ROWS", 3)
+    records = [[i] * (i % 7) for i in range(80)]
+    rows = [(s, 5 * i - 100, r, [1] * len(r), list(r)) for s in ("train", "validation", None) for i, r in enumerate(records)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for block, batch in [(4, None), (50, None), (1000, None), (3, 2), (5, 7)]:
+        out = pack_blocks(df, block, batch_rows=batch, bucket_rows=16).collect()
+        for s in ("train", "validation", None):
+            mine = sorted((r for r in out if r["split"] == s), key=lambda r: (r["batch_id"], r["block_id"]))
+            assert [r["input_ids"] for r in mine] == model(records, block, batch or len(records)), (block, batch, s)
+
+
 def test_pack_parallelism_independent(spark):
     records = [[i] * (i % 9) for i in range(60)]
     df = _table(spark, records)

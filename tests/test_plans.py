@@ -35,10 +35,22 @@ def test_pack_reuses_window_partitioning(spark):
 def test_rows_are_counted_without_the_arrays(spark):
     df = spark.createDataFrame([("train", i, [i], [1], [i]) for i in range(50)], SCHEMA)
     encoded = df.mapInArrow(lambda batches: batches, SCHEMA)
-    plan = _physical(pack_blocks(encoded, 4, batch_rows=10, rows=df.select("split", "row_idx")))
+    rows = df.select("split", "row_idx", F.size("input_ids").alias("n_tokens"))
+    plan = _physical(pack_blocks(encoded, 4, batch_rows=10, rows=rows))
     assert plan.count("MapInArrow") == 1, plan
 
 
+def test_pack_shuffles_the_arrays_once(spark):
+    df = spark.createDataFrame([("train", i, [i], [1], [i]) for i in range(50)], SCHEMA)
+    b = pack_blocks(df, 4, batch_rows=10)
+    plan = _physical(b)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan, plan
+    assert b.count() == 25
+    # one batch: the second exchange holds only pieces at part borders, the first is shared
+    plan = _physical(pack_blocks(df, 4, batch_rows=None))
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning(split") - plan.count("ReusedExchange") <= 3, plan
+
+
 def test_scan_prunes_columns(spark, tmp_dir):
     spark.range(20).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"),
                            F.lit("y").alias("other")).write.parquet(f"{tmp_dir}/t")

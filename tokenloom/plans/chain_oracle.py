@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from tokenloom.constants import EOS_ID, IGNORE_LABEL, UNKNOWN_ID
+from tokenloom.constants import EOS_ID, IGNORE_LABEL
 from tokenloom.plans import queries as q
-from tokenloom.plans.chains import FIRST_FILES
-from tokenloom.plans.oracle import (ARCHIVE_POS, BASE, ENC, FLAGS, IDX, ORACLE as SINGLE, PAT, REC, SPLIT, SPLIT_OF, TOK, VOCAB,
-                                    _BLOCK_ROWS, _blocks_sql, _h, _labels, _pack_sql, _repeat)
+from tokenloom.plans.oracle import (ARCHIVE_POS, BASE, FLAGS, IDX, MARK, ORACLE as SINGLE, PAT, REC, SPLIT, SPLIT_OF, TOK,
+                                    _BLOCK_ROWS, _blocks_sql, _h, _labels, _list_lit, _pack_sql, _repeat)
 
 LAB = f"""{BASE},
 lab AS (SELECT doc_id, e.ids, {_labels('e.ids', 'f.dff_idx')} AS labels, {SPLIT_OF} AS split
@@ -19,13 +18,6 @@ SELECT split, doc_id, CAST({q.PACK_BLOCK} AS BIGINT) AS n_ids,
        {_h(f"list_concat({_repeat(f'{q.PACK_BLOCK} - len(ids)', IGNORE_LABEL)}, labels)")} AS labels_md5
 FROM lab"""
 
-FIRST_VOCAB = VOCAB.replace("FROM tok", f"""FROM tok WHERE source IN
-      (SELECT DISTINCT source FROM documents ORDER BY source LIMIT {FIRST_FILES})""")
-LATE_ENC = f"""tpos AS (SELECT doc_id, unnest(t) AS token, unnest(range(len(t))) AS pos FROM tok),
-enc AS (SELECT p.doc_id, list(coalesce(v.id, {UNKNOWN_ID}) ORDER BY p.pos) AS ids
-        FROM tpos p LEFT JOIN vocab v USING (token) GROUP BY p.doc_id)"""
-
-
 def _decoded(ids: str) -> str:
     return (f"(SELECT md5(coalesce(string_agg(v.token, ' ' ORDER BY p.pos), '')) FROM "
             f"(SELECT unnest({ids}) AS id, unnest(range(len({ids}))) AS pos FROM one) p JOIN vocab v USING (id))")
@@ -72,13 +64,15 @@ FROM fl JOIN sp USING (doc_id) GROUP BY split""",
 
     "stream_new_tokens": f"""WITH {REC},
 {TOK},
-{FIRST_VOCAB},
-{LATE_ENC},
 {IDX},
-{ARCHIVE_POS}
-SELECT p.file, p.row_idx, CAST(len(e.ids) AS BIGINT) AS n_ids,
-       CAST(len(list_filter(e.ids, lambda x: x = {UNKNOWN_ID})) AS BIGINT) AS n_unknown, {_h('e.ids')} AS ids_md5
-FROM enc e JOIN fi f USING (doc_id) JOIN rpos p USING (doc_id)
+{ARCHIVE_POS},
+talk AS (SELECT DISTINCT token FROM (SELECT unnest(regexp_extract_all(text, '{PAT}', 1)) AS token FROM conversations
+         UNION ALL SELECT unnest({_list_lit(MARK)}))),
+late AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, unnest(t) AS token FROM tok) WHERE token NOT IN (SELECT token FROM talk) GROUP BY doc_id),
+every AS (SELECT CAST(count(DISTINCT token) AS BIGINT) AS n FROM (SELECT token FROM talk UNION ALL SELECT unnest(t) FROM tok))
+SELECT p.file, p.row_idx, CAST(len(t) AS BIGINT) AS n_ids, CAST(coalesce(l.n, 0) AS BIGINT) AS n_new, CAST(0 AS BIGINT) AS n_unknown,
+       {_h('t')} AS decoded_md5, (SELECT n FROM every) AS n_vocabulary, (SELECT n FROM every) AS n_vocabulary_ids
+FROM tok JOIN fi f USING (doc_id) JOIN rpos p USING (doc_id) LEFT JOIN late l USING (doc_id)
 WHERE f.dff_idx IS NOT NULL AND f.nt <= {q.MAX_TOKENS}""",
 
     "two_pass_filter": f"""WITH {REC},

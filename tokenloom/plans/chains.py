@@ -17,16 +17,14 @@ from tokenloom.operators.checks import first_sample, missing_marker_counts, row_
 from tokenloom.operators.marker import flag_records, length_filter
 from tokenloom.operators.rowindex import cap_sorted, positional_split
 from tokenloom.operators.user import filter_rows, map_batches
-from tokenloom.operators.vocab import build_vocabulary, encode, unknown_count, with_tokens
+from tokenloom.operators.vocab import build_vocabulary, decode, encode, unknown_count, with_tokens
 from tokenloom.plans import queries as q
 from tokenloom.plans.flows import (BlockConfig, archive_to_token_table, global_index, prepare_training_blocks,
                                    two_pass_filter)
-from tokenloom.plans.records import diff_records, documents
+from tokenloom.plans.records import diff_records, documents, table
 from tokenloom.session import land, scratch_path
 from tokenloom.sinks.tables import backup, write_text_json, write_token_table
-from tokenloom.sources.files import read_archive, read_named, read_split_files, read_table, resolve_archive_files
-
-FIRST_FILES = 10         # files that the vocabulary of a stream is made of
+from tokenloom.sources.files import read_archive, read_named, read_split_files, read_table
 
 
 def _cfg(**kw) -> BlockConfig:
@@ -113,15 +111,24 @@ def q_split_summary(spark, sf):
 
 
 def q_stream_new_tokens(spark, sf):
-    """T1 with a vocabulary of the first files: later files hold other tokens."""
+    """T1 with a vocabulary of the conversations: the archives' other tokens get
+    ids from the stream's state, then all archives are encoded and decoded."""
     from tokenloom.streaming.chunks import stream_masked
+    from tokenloom.streaming.new_tokens import stream_new_ids, with_new_ids
     arch = q._write_record_archives(spark, sf)
-    first = read_archive(spark, resolve_archive_files(spark, arch)[:FIRST_FILES], with_row_index=False)
-    vocab = build_vocabulary(with_tokens(first).select("tokens"))
-    out = scratch_path(spark, "stream-out")
-    stream_masked(spark, arch, vocab, out, scratch_path(spark, "stream-ckpt"), max_tokens=q.MAX_TOKENS, max_files_per_trigger=5)
-    return spark.read.parquet(out).select("file", "row_idx", q.n_of("input_ids").alias("n_ids"),
-                                          unknown_count().cast("bigint").alias("n_unknown"), q.h("input_ids").alias("ids_md5"))
+    vocab = land(build_vocabulary(with_tokens(table(spark, sf, "conversations").select("text")).select("tokens")), "vocabulary")
+    new, out = scratch_path(spark, "new-ids"), scratch_path(spark, "stream-out")
+    stream_new_ids(spark, arch, vocab, new, scratch_path(spark, "new-ids-ckpt"), max_files_per_trigger=5)
+    whole = land(with_new_ids(vocab, new), "vocabulary")
+    stream_masked(spark, arch, whole, out, scratch_path(spark, "stream-ckpt"), max_tokens=q.MAX_TOKENS, max_files_per_trigger=5)
+    known = vocab.agg(F.max("id")).first()[0]
+    rows = spark.read.parquet(out).select("file", "row_idx", "input_ids")
+    rows = rows.withColumns({"n_ids": q.n_of("input_ids"), "n_new": q.n_of(F.filter("input_ids", lambda x: x > known)),
+                             "n_unknown": unknown_count().cast("bigint")})
+    dec = decode(rows, whole, ["file", "row_idx"], "input_ids", "decoded")
+    n, n_ids = whole.agg(F.count(F.lit(1)), F.countDistinct("id")).first()
+    return dec.select("file", "row_idx", "n_ids", "n_new", "n_unknown", F.md5("decoded").alias("decoded_md5"),
+                      F.lit(n).cast("bigint").alias("n_vocabulary"), F.lit(n_ids).cast("bigint").alias("n_vocabulary_ids"))
 
 
 def q_two_pass_filter(spark, sf):

@@ -115,21 +115,20 @@ def prepare_training_blocks(df: DataFrame, cfg: BlockConfig, vocab: DataFrame |
             t = t.where(F.col("n_tokens") < block)
         if cfg.train_diff_model:
             t = t.where(F.col("dff_idx").isNotNull())
-        rows = t.select(*keys)
+        rows = t.select(*keys, "n_tokens")
         t = encode(t.drop("n_tokens"), vocab, keys)
     else:
         require_columns(df, ["attention_mask"])
         t = df
         if cfg.ignore_long_samples:                                # always before padding
             t = length_filter(t, block, "input_ids")
-        rows = t.select(*keys)
+        rows = None
     if cfg.train_diff_model and (cfg.force_label or "labels" not in t.columns):
         if "dff_idx" not in t.columns:
             if vocab is None:
                 raise ValueError("a vocabulary is needed to find the marker in token ids")
             t = with_marker_index(t, pattern_ids(vocab, marker_tokens(cfg.marker)), "input_ids")
             t = t.where(F.col("dff_idx").isNotNull())
-            rows = t.select(*keys)
         t = with_labels(t)
     t = t.drop("dff_idx")
     if tokenized:

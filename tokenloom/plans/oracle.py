@@ -192,6 +192,7 @@ WHERE (SELECT s FROM stop) IS NULL OR row_idx < (SELECT s FROM stop)""",
 
     "pack_blocks": _pack_sql(q.PACK_MAX, q.PACK_BLOCK, q.PACK_BATCH, _BLOCK_ROWS),
     "pack_short_batch": _pack_sql(q.SHORT_MAX, q.SHORT_BLOCK, q.SHORT_BATCH, _BLOCK_ROWS),
+    "pack_global": _pack_sql(q.PACK_MAX, q.PACK_BLOCK, 1 << 40, _BLOCK_ROWS),
     "block_checks": _pack_sql(q.PACK_MAX, q.PACK_BLOCK, q.PACK_BATCH, _BLOCK_CHECKS),
     "training_blocks": _pack_sql(
         q.PACK_BLOCK, q.PACK_BLOCK, q.PACK_BATCH, _BLOCK_ROWS,

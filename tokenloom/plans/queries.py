@@ -81,16 +81,16 @@ def _masked_all(spark: SparkSession, sf: str, vocab: DataFrame | None = None) ->
 def _pack_input(spark: SparkSession, sf: str, max_tokens: int) -> tuple[DataFrame, DataFrame]:
     """Trainer preprocessing before blocks: records with fewer than
     ``max_tokens`` tokens and a marker, encoded and masked, one split; and
-    the same rows' ``(split, row_idx)`` from the landed tokens."""
+    the same rows' ``(split, row_idx, n_tokens)`` from the landed tokens."""
     t = _records_tokens(spark, sf).withColumn("n_tokens", F.size("tokens"))
     t = land(with_marker_index(t, marker_tokens(MARKER)).drop("source"), "tokens")
     vocab = build_vocabulary(t.select("tokens"))
     t = t.where((F.col("n_tokens") < max_tokens) & F.col("dff_idx").isNotNull())
-    t = t.select(F.lit("train").alias("split"), F.col("doc_id").alias("row_idx"), "dff_idx", "tokens")
-    return with_labels(encode(t, vocab, ["row_idx"])).drop("dff_idx"), t.select("split", "row_idx")
+    t = t.select(F.lit("train").alias("split"), F.col("doc_id").alias("row_idx"), "n_tokens", "dff_idx", "tokens")
+    return with_labels(encode(t.drop("n_tokens"), vocab, ["row_idx"])).drop("dff_idx"), t.select("split", "row_idx", "n_tokens")
 
 
-def _packed(spark: SparkSession, sf: str, max_tokens: int, block: int, batch: int) -> DataFrame:
+def _packed(spark: SparkSession, sf: str, max_tokens: int, block: int, batch: int | None) -> DataFrame:
     df, rows = _pack_input(spark, sf, max_tokens)
     return pack_blocks(df, block, batch, rows=rows)
 
@@ -211,6 +211,11 @@ def q_pack_short_batch(spark, sf):
     return _block_out(_packed(spark, sf, SHORT_MAX, SHORT_BLOCK, SHORT_BATCH))
 
 
+def q_pack_global(spark, sf):
+    """B1 with one batch for the whole split: only the last block's remainder is lost."""
+    return _block_out(_packed(spark, sf, PACK_MAX, PACK_BLOCK, None))
+
+
 def q_pad_left(spark, sf):
     p = pad_blocks(_pack_input(spark, sf, PAD_BLOCK)[0], PAD_BLOCK)
     return p.select(F.col("row_idx").alias("doc_id"), n_of("input_ids").alias("n_ids"),
@@ -432,6 +437,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wraparound_cut": q_wraparound_cut,
     "pack_blocks": q_pack_blocks,
     "pack_short_batch": q_pack_short_batch,
+    "pack_global": q_pack_global,
     "pad_left": q_pad_left,
     "block_checks": q_block_checks,
     "training_blocks": q_training_blocks,

@@ -1,14 +1,15 @@
-"""K5: zstd-compressed JSON-lines archives as a PySpark data source.
-
-Spark's JSON writer has no zstd codec, so this data source compresses.  The
-JSON line itself (``{"text": ..., "meta": {}}``) is built on the JVM by
-``to_json`` before rows reach Python; a task only concatenates lines and
-streams them through a zstd compressor, so memory stays flat whatever the
-file size.  Files are written under ``_temporary`` and moved into place by
+"""K5: zstd-compressed JSON-lines archives.
+
+Spark's JSON writer has no zstd codec, so tasks compress.  The JSON line
+itself (``{"text": ..., "meta": {}}``) is built on the JVM by ``to_json``
+before rows reach Python; a task only gathers lines and compresses them frame
+by frame, so memory stays flat whatever the file size.  Named files are
+written by many tasks (see ``frames``).  Part files, one per task, go through
+a PySpark data source: written under ``_temporary`` and moved into place by
 the driver-side commit; an aborted job removes its temporary files.
 
-Reading back needs nothing custom: ``spark.read.json`` decompresses
-``*.zst`` (see :func:`tokenloom.sources.files.read_archive`).
+Any zstd reader reads the files; ``tokenloom.sources.files.read_archive``
+reads their frames in parallel.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from tokenloom.constants import ARCHIVE_SUFFIX
-from tokenloom.session import ship_package
+from tokenloom.session import default_parallelism, land, ship_package
+from tokenloom.sinks.frames import FRAME_BYTES, PARTS, FrameWriter, stitch, write_parts
 from tokenloom.sinks.fs import clear_job, filesystem, join
 
 
@@ -33,12 +35,11 @@ class ArchiveCommit(WriterCommitMessage):
 
 
 class ArchiveDataSource(DataSource):
-    """``df.write.format("tokenloom_archive").option("path", dir)``.
+    """``df.write.format("tokenloom_archive").option("path", dir)``: one part
+    file per task.
 
-    Options: ``path`` (folder), ``fileColumn`` (column holding each row's
-    output file name; rows of one name must be in one task), ``level``
-    (zstd level, default 3).  Input columns: ``line`` (a ready JSON line) or
-    ``text``.
+    Options: ``path`` (folder), ``level`` (zstd level, default 3).  Input
+    columns: ``line`` (a ready JSON line) or ``text``.
     """
 
     @classmethod
@@ -55,56 +56,36 @@ class ArchiveDataSource(DataSource):
 class ArchiveWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
         self.path = options["path"]
-        self.file_col = options.get("fileColumn")
         self.level = int(options.get("level", "3"))
         self.job = uuid.uuid4().hex[:12]
 
     def write(self, iterator) -> ArchiveCommit:
         import json
 
-        import zstandard
         from pyspark import TaskContext
 
         ctx = TaskContext.get()
         pid = ctx.partitionId() if ctx else 0
         attempt = ctx.attemptNumber() if ctx else 0
         fs, root = filesystem(self.path)
-        tmp_dir = join(root, "_temporary", self.job, f"{pid:05d}-{attempt}")
-        fs.create_dir(tmp_dir, recursive=True)
-        open_files: dict[str, tuple] = {}
-        moves, rows = [], 0
-
-        def sink(name: str):
-            if name not in open_files:
-                tmp = join(tmp_dir, name)
-                raw = fs.open_output_stream(tmp, compression=None)
-                comp = zstandard.ZstdCompressor(level=self.level).stream_writer(raw, closefd=False)
-                open_files[name] = (raw, comp)
-                moves.append((tmp, join(root, name)))
-            return open_files[name][1]
-
-        default_name = f"part-{pid:05d}-{self.job}.{ARCHIVE_SUFFIX}"
+        name = f"part-{pid:05d}-{self.job}.{ARCHIVE_SUFFIX}"
+        folder = join(root, "_temporary", self.job, f"{pid:05d}-{attempt}")
+        writer, rows = None, 0
         for batch in iterator:
-            cols = batch.schema.names
-            if "line" in cols:
+            if "line" in batch.schema.names:
                 lines = batch.column("line").to_pylist()
             else:
                 lines = [json.dumps({"text": t, "meta": {}}) for t in batch.column("text").to_pylist()]
-            names = batch.column(self.file_col).to_pylist() if self.file_col else None
+            if lines and writer is None:
+                fs.create_dir(folder, recursive=True)
+                writer = FrameWriter(fs.open_output_stream(join(folder, name), compression=None), self.level)
+            if lines:
+                writer.write(lines)
             rows += len(lines)
-            if names is None:
-                if lines:
-                    sink(default_name).write(("\n".join(lines) + "\n").encode("utf-8"))
-                continue
-            start = 0
-            for i in range(1, len(lines) + 1):       # runs of equal names
-                if i == len(lines) or names[i] != names[start]:
-                    sink(names[start]).write(("\n".join(lines[start:i]) + "\n").encode("utf-8"))
-                    start = i
-        for raw, comp in open_files.values():
-            comp.close()
-            raw.close()
-        return ArchiveCommit(moves=moves, rows=rows)
+        if writer is None:
+            return ArchiveCommit()
+        writer.close()
+        return ArchiveCommit(moves=[(join(folder, name), join(root, name))], rows=rows)
 
     def commit(self, messages) -> None:
         fs, root = filesystem(self.path)
@@ -133,22 +114,33 @@ def archive_lines(df: DataFrame, text_col: str = "text") -> DataFrame:
     return df.withColumn("line", F.to_json(F.struct(F.col(text_col).alias("text"), meta.alias("meta"))))
 
 
-def write_archive(df: DataFrame, path: str, file_col: str | None = None,
-                  order_col: str | None = None, text_col: str = "text") -> None:
-    """K5: write ``text`` as archives.  With ``file_col`` every distinct value
-    becomes one file (rows clustered by it, ordered by ``order_col``);
+def write_archive(df: DataFrame, path: str, file_col: str | None = None, order_col: str | None = None,
+                  text_col: str = "text", level: int = 3, frame_bytes: int = FRAME_BYTES) -> None:
+    """K5: write ``text`` as archives of indexed frames (see ``frames``).  With
+    ``file_col`` every distinct value becomes one file, its records in the
+    order of ``order_col`` and compressed by as many tasks as its size takes;
     without it every task writes one part file."""
     spark = df.sparkSession
     ship_package(spark)
-    spark.dataSource.register(ArchiveDataSource)
-    out = archive_lines(df, text_col)
-    keep = ["line"] + ([file_col] if file_col else [])
-    if file_col:
-        out = out.repartition(file_col)
-        out = out.sortWithinPartitions(file_col, *([order_col] if order_col else []))
-    elif order_col:
-        out = out.sortWithinPartitions(order_col)
-    w = out.select(*keep).write.format(ArchiveDataSource.name()).mode("append").option("path", path)
-    if file_col:
-        w = w.option("fileColumn", file_col)
-    w.save()
+    if file_col is None:
+        spark.dataSource.register(ArchiveDataSource)
+        out = df.sortWithinPartitions(order_col) if order_col else df
+        archive_lines(out, text_col).select("line").write.format(ArchiveDataSource.name()).mode("append").option("path", path).option("level", level).save()
+        return
+    job, order = uuid.uuid4().hex[:12], [F.col(file_col)] + ([F.col(order_col)] if order_col else [])
+    fs, root = filesystem(path)
+    try:
+        dealt = df.select(*order, text_col)
+        n = default_parallelism(spark)
+        dealt = dealt.repartitionByRange(n, *order) if order_col else dealt.repartition(n, file_col)
+        lines = archive_lines(dealt.sortWithinPartitions(*order), text_col).select(F.col(file_col).cast("string").alias("file"), "line")
+        parts = land(lines.mapInArrow(write_parts(path, job, level, frame_bytes), PARTS), "archive-parts")
+        whole = parts.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("part", "path", "sizes", "lines"))).alias("parts"))
+        made = land(whole.mapInArrow(stitch(path, job), "file string, path string, n_parts int"), "archive-files").select("file", "path").collect()
+        there = [r["file"] for r in made if fs.get_file_info(join(root, r["file"])).type.name != "NotFound"]
+        if there:
+            raise FileExistsError(f"archive files exist already: {sorted(there)[:5]}")
+        for r in made:
+            fs.move(r["path"], join(root, r["file"]))
+    finally:
+        clear_job(fs, root, job)

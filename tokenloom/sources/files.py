@@ -17,6 +17,11 @@ from pyspark.sql import functions as F
 from tokenloom.constants import ARCHIVE_SUFFIX
 from tokenloom.operators.indexing import index_from_text
 from tokenloom.operators.rowindex import file_row_index, ordered_index, tag_scan_position
+from tokenloom.session import land, ship_package
+from tokenloom.sinks.frames import FRAMES, list_frames, read_lines
+from tokenloom.sinks.fs import filesystem
+
+TASK_BYTES = 32 << 20     # compressed bytes that one task reads
 
 
 def _fs(spark: SparkSession, path: str):
@@ -57,15 +62,20 @@ def list_archives(spark: SparkSession, path: str) -> list[str]:
 def read_archive(spark: SparkSession, path: str | Iterable[str], with_row_index: bool = True) -> DataFrame:
     """S1 + S9 (+O1): ``(file, row_idx, text)`` from one or many archives.
 
-    One Spark read over all files; a zstd file cannot be split, so each file
-    is read by one task in order, and ``row_idx`` is its position there.
-    ``file`` is the base name, so two archives of one name are an error.
+    Archives with a frame index (``sinks.frames``) are read frame by frame, by
+    as many tasks as their size takes; others by one task each, in order.
+    ``row_idx`` is the position in the file, known from the index or counted
+    on the way, so everything is read once.  Where only Spark knows the file
+    system, Spark reads the files, once for the positions and once for the
+    rows.  ``file`` is the base name, so two archives of one name are an error.
     """
     paths = [path] if isinstance(path, str) else list(path)
     files = [f for p in paths for f in resolve_archive_files(spark, p)]
     repeated = [n for n, k in Counter(f.rsplit("/", 1)[-1] for f in files).items() if k > 1]
     if repeated:
         raise ValueError(f"archives of different folders share a name: {sorted(repeated)[:5]}")
+    if with_row_index and all(map(reachable, files)):
+        return read_frames(spark, files)
     df = spark.read.schema("text string").option("mode", "FAILFAST").json(files)
     if not with_row_index:
         return df.select(F.col("_metadata.file_name").alias("file"), "text")
@@ -73,6 +83,30 @@ def read_archive(spark: SparkSession, path: str | Iterable[str], with_row_index:
     return file_row_index(tagged).select("file", "row_idx", "text")
 
 
+def reachable(path: str) -> bool:
+    """Whether tasks can open ``path`` themselves."""
+    try:
+        filesystem(path)
+        return True
+    except Exception:
+        return False
+
+
+def read_frames(spark: SparkSession, files: list[str], task_bytes: int = TASK_BYTES) -> DataFrame:
+    """``(file, row_idx, text)`` of archive files, frame by frame: the files'
+    indexes are read by tasks, then frames of about ``task_bytes`` (compressed)
+    go to one task.  A bad line fails the read."""
+    ship_package(spark)
+    cores = spark.sparkContext.defaultParallelism
+    paths = spark.createDataFrame([(f,) for f in files], "path string").repartition(min(len(files), 4 * cores))
+    frames = land(paths.mapInArrow(list_frames, FRAMES), "frames")
+    n, size = frames.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    tasks = max(1, min(n, max(cores, -(-size // task_bytes))))
+    dealt = frames.repartitionByRange(tasks, "path", "offset") if tasks > 1 else frames.coalesce(1)
+    lines = dealt.mapInArrow(read_lines, "file string, row_idx bigint, line string")
+    return lines.select("file", "row_idx", F.from_json("line", "text string", {"mode": "FAILFAST"}).getField("text").alias("text"))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """S3: re-open a saved table (any mid-point)."""
     return spark.read.parquet(path)

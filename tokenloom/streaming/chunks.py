@@ -11,15 +11,18 @@ which files are done; a restart continues from there.
 
 from __future__ import annotations
 
+from typing import Callable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tokenloom.constants import ARCHIVE_SUFFIX, DEFAULT_MAX_TOKENS, MARKER
 from tokenloom.functions.text import marker_tokens
 from tokenloom.operators.lookup import Head
 from tokenloom.operators.marker import drop_flagged, flag_records, with_labels
-from tokenloom.operators.rowindex import file_row_index
 from tokenloom.operators.vocab import encode, vocabulary_head, with_tokens
+from tokenloom.sources.files import read_archive
+
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def mask_batch(batch: DataFrame, vocab: DataFrame, max_tokens: int = DEFAULT_MAX_TOKENS,
@@ -38,22 +41,30 @@ def stream_masked(spark: SparkSession, archive_dir: str, vocab: DataFrame, out_d
                   max_files_per_trigger: int = 1, marker: str = MARKER) -> None:
     """Run the stream until every archive present is processed."""
     head = vocabulary_head(vocab)             # fixed before the stream starts
-    src = (spark.readStream.schema("text string")
-           .option("maxFilesPerTrigger", max_files_per_trigger)
-           .option("pathGlobFilter", f"*{ARCHIVE_SUFFIX}")
-           .json(archive_dir)
-           .select("text",
-                   F.col("_metadata.file_name").alias("file"),
-                   F.col("_metadata.file_block_start").alias("_split_start")))
-
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        tagged = (batch.withColumn("_pid", F.spark_partition_id())
-                       .withColumn("_mid", F.monotonically_increasing_id()))
-        rows = file_row_index(tagged).select("file", "row_idx", "text")
+
+    def per_batch(rows: DataFrame, batch_id: int) -> None:
         out = mask_batch(rows, vocab, max_tokens, marker, head)
         (out.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch={batch_id}"))
 
-    q = (src.writeStream.foreachBatch(per_batch)
+    run_over_archives(spark, archive_dir, checkpoint_location, per_batch, max_files_per_trigger)
+
+
+def run_over_archives(spark: SparkSession, archive_dir: str, checkpoint_location: str,
+                      per_batch: Callable[[DataFrame, int], None], max_files_per_trigger: int = 1) -> None:
+    """A file stream over the archives present: ``per_batch`` gets the rows
+    ``(file, row_idx, text)`` of each micro-batch and its number.  The stream
+    itself carries the files' names only (``max_files_per_trigger`` at most);
+    their frames are read in parallel."""
+    src = (spark.readStream.format("binaryFile").schema(BINARY_FILE)
+           .option("maxFilesPerTrigger", max_files_per_trigger)
+           .option("pathGlobFilter", f"*{ARCHIVE_SUFFIX}")
+           .load(archive_dir).select("path"))
+
+    def batch(names: DataFrame, batch_id: int) -> None:
+        files = sorted(r["path"] for r in names.collect())
+        per_batch(read_archive(spark, files), batch_id)
+
+    q = (src.writeStream.foreachBatch(batch)
          .option("checkpointLocation", checkpoint_location)
          .trigger(availableNow=True).start())
     q.awaitTermination()
