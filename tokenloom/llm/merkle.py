@@ -181,7 +181,7 @@ def build(rows: DataFrame, levels: int = LEVELS) -> Manifest:
     spark = rows.sparkSession
     order = [F.col("source"), F.col("key"), F.col("digest")]
     # a scan's own numbers part exact copies, so that no key is hot
-    spread = rows.withColumn("_scan", F.monotonically_increasing_id())
+    spread = land(rows, "merkle-rows").withColumn("_scan", F.monotonically_increasing_id())
     tagged = spread.repartitionByRange(default_parallelism(spark), *order, F.col("_scan")).sortWithinPartitions(*order, F.col("_scan"))
     tagged = land(tagged.drop("_scan").withColumn("id", F.monotonically_increasing_id()).withColumn("pid", F.shiftright("id", 33)), "merkle-order")
     # one row for each source of each partition; a source has as many as there are partitions at most
