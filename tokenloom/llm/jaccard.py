@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tokenloom.llm.tables import components, forget, map_arrow, read, runtime_filters
+from tokenloom.llm.tables import components, few, forget, map_arrow, read, runtime_filters
 from tokenloom.llm.words import SpanHash, Words, chunks, mix
 from tokenloom.session import land
 
@@ -60,6 +60,7 @@ SLACK = 0.07      # of a set's size, listed beyond the prefix
 SMALL_MOST = 30   # largest set size that the cost rule may call small
 SCAN_COST = 8.0   # cost of one list entry, in subsets
 CELL_ROUNDS = 4
+SETS_PER_TASK = 2_000  # texts whose sets one task makes or compares
 SKETCH_LEAST = 256  # bits
 BRIEF = ["s0", "s1", "s2", "s3"]  # the sketch folded to 256 bits
 
@@ -212,10 +213,13 @@ def _possible(percent: int) -> Column:
 
 
 def _pairs(left: DataFrame, right: DataFrame, also: Column, percent: int, last: Column | None = None) -> DataFrame:
-    """Distinct pairs of nodes with a common key; conditions in the order of their cost."""
+    """Distinct pairs of nodes with a common key, and their groups; conditions in
+    the order of their cost."""
     on = (F.col("l.key") == F.col("r.key")) & also & _possible(percent)
     joined = left.alias("l").join(right.alias("r"), on if last is None else on & last)
-    return joined.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
+    swap = F.col("l.node") > F.col("r.node")
+    of = lambda name, first: F.when(swap if first else ~swap, F.col(f"r.{name}")).otherwise(F.col(f"l.{name}"))
+    return joined.select(of("node", True).alias("a"), of("node", False).alias("b"), of("group", True).alias("ga"), of("group", False).alias("gb")).distinct()
 
 
 def _sets(batches: Iterable[pa.RecordBatch], width: int) -> Iterable[pa.RecordBatch]:
@@ -225,6 +229,10 @@ def _sets(batches: Iterable[pa.RecordBatch], width: int) -> Iterable[pa.RecordBa
             yield pa.record_batch([batch.column("node").slice(lo, hi - lo), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
 
 
+PAIR = ["a", "b", "ga", "gb"]
+PAIRS = "a bigint, b bigint, ga bigint, gb bigint"
+
+
 def _compare(batches: Iterable[pa.RecordBatch], percent: int) -> Iterable[pa.RecordBatch]:
     for batch in batches:
         linked = []
@@ -234,7 +242,7 @@ def _compare(batches: Iterable[pa.RecordBatch], percent: int) -> Iterable[pa.Rec
             at = np.minimum(np.searchsorted(large, small), len(large) - 1)
             common = int((large[at] == small).sum())
             linked.append(100 * common >= percent * (len(x) + len(y) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+        yield batch.select(PAIR).filter(pa.array(linked, pa.bool_()))
 
 
 def _may_link(batches: Iterable[pa.RecordBatch], percent: int) -> Iterable[pa.RecordBatch]:
@@ -243,22 +251,25 @@ def _may_link(batches: Iterable[pa.RecordBatch], percent: int) -> Iterable[pa.Re
     for batch in batches:
         columns = (batch.column(k).to_pylist() for k in ("na", "nb", "sa", "sb"))
         may = [(100 + percent) * (n + m - apart(x, y)) >= 2 * percent * (n + m) for n, m, x, y in zip(*columns)]
-        yield batch.select(["a", "b"]).filter(pa.array(may, pa.bool_()))
+        yield batch.select(PAIR).filter(pa.array(may, pa.bool_()))
 
 
 def _verified(docs: DataFrame, facts: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
-    """Those of ``pairs(a, b)`` that link; landed."""
+    """Those of the landed ``pairs`` that link; landed.  ``pairs`` is deleted."""
+    n = pairs.count()
     facts = facts.select("node", "n", "sketch")
     both = pairs.join(facts.toDF("a", "na", "sa"), "a").join(facts.toDF("b", "nb", "sb"), "b")
-    left = land(map_arrow(both, lambda it: _may_link(it, percent), "a bigint, b bigint"), "candidates")
-    ids = land(left.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "candidate-nodes")
+    left = land(few(map_arrow(both, lambda it: _may_link(it, percent), PAIRS), n), "candidates")
+    forget(pairs)
+    n = left.count()
+    ids = land(few(left.select(F.explode(F.array("a", "b")).alias("node")).distinct(), 2 * n), "candidate-nodes")
     with runtime_filters(docs.sparkSession):
         texts = docs.join(ids.where("node is not null"), F.col("doc_id") == F.col("node")).select("node", "text")
         # rows that repeat an id give one set; the join has them in one place already
         texts = texts.groupBy("node").agg(F.first("text").alias("text"))
-        sets = land(map_arrow(texts, lambda it: _sets(it, width), "node bigint, shingles binary"), "sets")
+        sets = land(map_arrow(texts.coalesce(max(1, -(-2 * n // SETS_PER_TASK))), lambda it: _sets(it, width), "node bigint, shingles binary"), "sets")
     joined = left.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    out = land(map_arrow(joined, lambda it: _compare(it, percent), "a bigint, b bigint"), "links")
+    out = land(few(map_arrow(joined.coalesce(max(1, -(-n // SETS_PER_TASK))), lambda it: _compare(it, percent), PAIRS), n), "links")
     for t in (left, ids, sets):
         forget(t)
     return out
@@ -298,6 +309,7 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int = PERCENT, width: int
         (F.coalesce("short", F.lit(False)) | F.col("whole")).alias("short")), "marked-entries")
     forget(found)
     forget(reach)
+    marked = marked.withColumn("group", F.col("node"))
     light = marked.where((F.col("count") <= LIGHT) & (F.col("whole") | (rank < F.col("reach"))))
     heavy = land(marked.where((F.col("count") > LIGHT) & (F.col("whole") | (rank < _p(n, percent)))), "heavy-entries")
     pairs = _pairs(light, light, F.col("l.node") < F.col("r.node"), percent)
@@ -313,33 +325,50 @@ def _near(percent: int) -> Column:
     return (100 + percent) * (united - (flipped[0] + flipped[1] + flipped[2] + flipped[3])) >= 2 * percent * united
 
 
+def _apart(entries: DataFrame) -> DataFrame:
+    """Entries of the lists that hold several groups and a short document; a
+    list without one is settled by its members' light shingles."""
+    keys = entries.groupBy("key").agg(F.min("group").alias("g"), F.max("group").alias("h"), F.max("short").alias("open"))
+    return entries.join(keys.where("open AND g < h").select("key"), "key")
+
+
+def _grouped(entries: DataFrame, names: DataFrame, by: str) -> DataFrame:
+    """``entries`` with the group that ``names(id, component)`` gives to ``by``."""
+    joined = entries.join(names.toDF("_id", "_component"), F.col(by) == F.col("_id"), "left")
+    return joined.withColumn("group", F.coalesce("_component", "group")).drop("_id", "_component")
+
+
 def _resolve_heavy(docs: DataFrame, facts: DataFrame, heavy: DataFrame, known: DataFrame, percent: int, width: int) -> DataFrame:
-    """Links of the heavy lists that join groups which ``known`` leaves apart."""
-    # a list without a short document is settled by its members' light shingles
-    keys = land(heavy.groupBy("key").agg(F.max("short").alias("open")).where("open").select("key"), "open-keys")
-    heavy = land(heavy.join(keys, "key").join(facts.select("node", *BRIEF), "node"), "open-entries")
+    """``known`` and the links of the heavy lists that join groups which it
+    leaves apart.  Groups are found once; each turn only joins groups."""
+    if heavy.where("short").isEmpty():
+        return known.select("a", "b")
     unlike = F.col("l.group") != F.col("r.group")
-    for turn in range(CELL_ROUNDS + 1):
-        group = land(components(known), "groups")
-        grouped = heavy.join(group.toDF("node", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
-        keys = land(grouped.groupBy("key").agg(F.min("group").alias("g"), F.max("group").alias("h")).where("g < h").select("key"), "apart-keys")
-        rest = land(grouped.join(keys, "key"), "apart-entries")
-        if turn == CELL_ROUNDS or keys.isEmpty():
-            break
+    rest = _apart(_grouped(heavy, components(known), "node")).join(facts.select("node", *BRIEF), "node")
+    rest, found = land(rest, "apart-entries"), [known]
+    for turn in range(CELL_ROUNDS):
         cells = rest.withColumn("cell", F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("count") / LIGHT)))
         also = (F.col("l.cell") == F.col("r.cell")) & (F.col("l.node") < F.col("r.node")) & unlike & _near(percent)
-        more = _verified(docs, facts, land(_pairs(cells, cells, also, percent), "cell-pairs"), percent, width)
-        if more.isEmpty():
+        found.append(_verified(docs, facts, land(_pairs(cells, cells, also, percent), "cell-pairs"), percent, width))
+        if found[-1].isEmpty():
+            break
+        names = components(found[-1].select(F.col("ga").alias("a"), F.col("gb").alias("b")))
+        before, rest = rest, land(_apart(_grouped(rest, names, "group")), "apart-entries")
+        forget(before)
+        if rest.isEmpty():
             break
-        known = land(known.union(more), "links")
-    if keys.isEmpty():
-        return known
-    heads = land(rest.groupBy("node").agg(F.collect_list(F.hash("key")).alias("heads")), "heads")
-    rest = land(rest.drop("count", "reach").join(heads, "node"), "rest-entries")
-    once = F.array_min(F.array_intersect("l.heads", "r.heads")) == F.hash("l.key")
-    also = unlike & (~F.col("r.short") | (F.col("l.node") < F.col("r.node"))) & _near(percent)
-    pairs = land(_pairs(rest.where("short"), rest, also, percent, once), "rest-pairs")
-    return land(known.union(_verified(docs, facts, pairs, percent, width)), "links")
+    if not rest.isEmpty():
+        heads = rest.groupBy("node").agg(F.collect_list("key").alias("heads"))
+        rest = land(rest.drop("count", "reach").join(heads, "node"), "rest-entries")
+        # a pair is made at the least heavy shingle that both list
+        once = F.array_min(F.array_intersect("l.heads", "r.heads")) == F.col("l.key")
+        also = unlike & (~F.col("r.short") | (F.col("l.node") < F.col("r.node"))) & _near(percent)
+        pairs = land(_pairs(rest.where("short"), rest, also, percent, once), "rest-pairs")
+        found.append(_verified(docs, facts, pairs, percent, width))
+    out = known
+    for part in found[1:]:
+        out = out.unionByName(part)
+    return out.select("a", "b")
 
 
 def near_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:

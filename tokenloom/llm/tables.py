@@ -5,6 +5,7 @@ from __future__ import annotations
 from contextlib import contextmanager
 from typing import Callable, Iterable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ RUNTIME_FILTER = {
 }
 
 
+#: Rows of a few numbers that one task may write, and links that one task may hold (16 bytes each).
+ROWS_PER_TASK, EDGES_PER_TASK = 200_000, 1_000_000
 BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "16m"
 
 
@@ -56,16 +59,51 @@ def forget(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def components(links: DataFrame, name: str = "components") -> DataFrame:
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, the outcome of a shuffle with at most ``rows`` short rows, in as
+    few partitions as these take."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
+def _contract(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+    """``(node, smallest node that this task's edges connect it to)``."""
+    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+    if not parts:
+        return
+    nodes, ends = np.unique(np.concatenate([x for p in parts for x in p]), return_inverse=True)
+    ends = np.split(ends.reshape(-1), np.cumsum([len(x) for p in parts for x in p])[:-1])
+    a, b = np.concatenate(ends[::2]), np.concatenate(ends[1::2])
+    label = np.arange(len(nodes))
+    while True:
+        x, y = label[a], label[b]
+        if (x == y).all():
+            break
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (label[label] != label).any():
+            label = label[label]
+    yield pa.record_batch([pa.array(nodes), pa.array(nodes[label])], names=["a", "b"])
+
+
+def components(links: DataFrame, name: str = "components", per_task: int = EDGES_PER_TASK) -> DataFrame:
     """Connected groups of ``links(a, b)``: ``(id, component)`` with the
     smallest id of the group, for every id that has a link.
 
-    Alternating large-star and small-star steps; each step is one
-    aggregation and one join on written tables, and the number of steps
-    grows with the logarithm of the longest chain.
+    Each turn deals the edges at random into tasks of about ``per_task``, which
+    replace theirs by a tree of depth one; where a single task holds all,
+    that is the result.  Otherwise an alternating large-star and small-star
+    step follows, one aggregation and one join each, and the turns go on with
+    the edges that are left, at most one for each id.
     """
     edges = land(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
     while True:
+        n = edges.count()
+        tasks = max(1, -(-n // per_task))
+        dealt = edges.coalesce(1) if tasks == 1 else edges.repartition(tasks, F.xxhash64("a", "b"))
+        trees = land(map_arrow(dealt, _contract, "a bigint, b bigint"), name)
+        forget(edges)
+        if tasks == 1:
+            return trees.select(F.col("a").alias("id"), F.col("b").alias("component"))
+        edges = trees.where("a <> b")
         # large star: greater neighbours of a vertex are linked to its smallest neighbour
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -77,11 +115,9 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
                  .union(low.select("a", F.col("m").alias("b"))).distinct())
         small = land(small, name)
         done = low.where("n > 1").isEmpty() and small.join(small.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()
-        forget(edges)
-        forget(large)
-        forget(low)
+        for t in (trees, large, low):
+            forget(t)
         edges = small
         if done:
-            break
-    ids = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return ids.union(edges.select("b", "b").distinct())
+            ids = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
+            return ids.union(edges.select("b", "b").distinct())
