@@ -59,7 +59,7 @@ LIGHT = 16        # longest list that is joined with itself
 SLACK = 0.07      # of a set's size, listed beyond the prefix
 SMALL_MOST = 30   # largest set size that the cost rule may call small
 SCAN_COST = 8.0   # cost of one list entry, in subsets
-CELL_ROUNDS = 4
+CELL_ROUNDS = 2    # later ones find next to nothing
 SETS_PER_TASK = 2_000  # texts whose sets one task makes or compares
 SKETCH_LEAST = 256  # bits
 BRIEF = ["s0", "s1", "s2", "s3"]  # the sketch folded to 256 bits

@@ -61,8 +61,8 @@ def forget(df: DataFrame) -> None:
 
 def few(df: DataFrame, rows: int) -> DataFrame:
     """``df``, the outcome of a shuffle with at most ``rows`` short rows, in as
-    few partitions as these take."""
-    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+    few partitions as these take, one for each core at least."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK)))
 
 
 def _contract(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -92,15 +92,17 @@ def components(links: DataFrame, name: str = "components", per_task: int = EDGES
     replace theirs by a tree of depth one; where a single task holds all,
     that is the result.  Otherwise an alternating large-star and small-star
     step follows, one aggregation and one join each, and the turns go on with
-    the edges that are left, at most one for each id.
+    the edges that are left, at most one for each id.  ``links`` is a written
+    table, repeated links do no harm.
     """
-    edges = land(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    edges, own = links.where("a <> b").select("a", "b"), []
     while True:
         n = edges.count()
         tasks = max(1, -(-n // per_task))
         dealt = edges.coalesce(1) if tasks == 1 else edges.repartition(tasks, F.xxhash64("a", "b"))
         trees = land(map_arrow(dealt, _contract, "a bigint, b bigint"), name)
-        forget(edges)
+        for t in own:
+            forget(t)
         if tasks == 1:
             return trees.select(F.col("a").alias("id"), F.col("b").alias("component"))
         edges = trees.where("a <> b")
@@ -117,7 +119,7 @@ def components(links: DataFrame, name: str = "components", per_task: int = EDGES
         done = low.where("n > 1").isEmpty() and small.join(small.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()
         for t in (trees, large, low):
             forget(t)
-        edges = small
+        edges, own = small, [small]
         if done:
             ids = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
             return ids.union(edges.select("b", "b").distinct())
