@@ -8,24 +8,38 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tokenloom.constants import IGNORE_LABEL
 from tokenloom.functions.arrays import first_unmasked_segment
 from tokenloom.operators.vocab import decode
+from tokenloom.session import land
 
 
 def _count_if(cond) -> F.Column:
     return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
 
 
-def quality_counts(df: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
-    """A1: ``total``, ``without_dff`` and ``invalid`` counts (per group)."""
-    aggs = [F.count(F.lit(1)).alias("total"),
+def _quality() -> list[F.Column]:
+    return [F.count(F.lit(1)).alias("total"),
             _count_if(F.col("without_dff")).alias("without_dff"),
             _count_if(F.col("invalid")).alias("invalid")]
-    return df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
+
+
+def quality_counts(df: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """A1: ``total``, ``without_dff`` and ``invalid`` counts (per group)."""
+    return df.groupBy(*group_cols).agg(*_quality()) if group_cols else df.agg(*_quality())
+
+
+def land_counted(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """A1 out of the job that writes: ``df`` landed, and its ``quality_counts``,
+    observed on the way to the files."""
+    seen = Observation("quality")
+    landed = land(df.observe(seen, *_quality()), name)
+    row = seen.get
+    return landed, df.sparkSession.createDataFrame([tuple(int(row[c] or 0) for c in ("total", "without_dff", "invalid"))],
+                                                   "total bigint, without_dff bigint, invalid bigint")
 
 
 def missing_marker_counts(df: DataFrame, split_col: str = "split", valid_col: str = "valid") -> DataFrame:
@@ -58,6 +72,21 @@ def require_only_token_columns(df: DataFrame, extra: Sequence[str] = ()) -> None
         raise ValueError(f"unexpected columns before blocks: {bad}")
 
 
+def _block_checks(columns: Sequence[str], block_size: int | None, short_ok: bool) -> list[F.Column]:
+    n_ids = F.size("input_ids")
+    mism = (n_ids != F.size("attention_mask"))
+    if "labels" in columns:
+        mism = mism | (n_ids != F.size("labels"))
+        first_masked = _count_if(F.get(F.col("labels"), 0) == F.lit(IGNORE_LABEL))
+    else:
+        first_masked = F.lit(None).cast("bigint")
+    wrong = F.lit(False) if block_size is None else n_ids != F.lit(block_size)
+    if short_ok:
+        wrong = wrong & ~((n_ids < F.lit(block_size)) & (F.col("block_id") == 0))
+    return [F.count(F.lit(1)).alias("n_blocks"), _count_if(mism).alias("len_mismatch"), _count_if(wrong).alias("wrong_size"),
+            first_masked.alias("first_label_masked")]
+
+
 def block_report(blocks: DataFrame, block_size: int | None, split_col: str = "split",
                  short_ok: bool = False) -> DataFrame:
     """C1, C4, C5 per split in one aggregate.
@@ -69,21 +98,25 @@ def block_report(blocks: DataFrame, block_size: int | None, split_col: str = "sp
     first label is -100 (C5 is a property of the first sample only, so it is
     counted).
     """
-    n_ids = F.size("input_ids")
-    mism = (n_ids != F.size("attention_mask"))
-    if "labels" in blocks.columns:
-        mism = mism | (n_ids != F.size("labels"))
-        first_masked = _count_if(F.get(F.col("labels"), 0) == F.lit(IGNORE_LABEL))
-    else:
-        first_masked = F.lit(None).cast("bigint")
-    wrong = F.lit(False) if block_size is None else n_ids != F.lit(block_size)
-    if short_ok:
-        wrong = wrong & ~((n_ids < F.lit(block_size)) & (F.col("block_id") == 0))
-    return blocks.groupBy(split_col).agg(
-        F.count(F.lit(1)).alias("n_blocks"),
-        _count_if(mism).alias("len_mismatch"),
-        _count_if(wrong).alias("wrong_size"),
-        first_masked.alias("first_label_masked"))
+    return blocks.groupBy(split_col).agg(*_block_checks(blocks.columns, block_size, short_ok))
+
+
+def land_checked(blocks: DataFrame, block_size: int | None, name: str = "blocks", split_col: str = "split", short_ok: bool = False,
+                 labels: bool = True) -> DataFrame:
+    """C1, C3 and C4 out of the job that writes: ``blocks`` landed, every row
+    checked on its way to the files; blocks that break a check raise."""
+    require_columns(blocks, [split_col, "input_ids", "attention_mask", *(["labels"] if labels else [])])
+    seen = Observation("blocks")
+    checks = [c for c in _block_checks([c for c in blocks.columns if labels or c != "labels"], block_size, short_ok)][:3]
+    landed = land(blocks.observe(seen, *checks, _count_if(F.col(split_col) == "train").alias("train")), name)
+    row = seen.get
+    if not row["train"]:
+        raise ValueError("no train split")
+    if row["len_mismatch"]:
+        raise ValueError(f"{row['len_mismatch']} rows with unequal column lengths")
+    if row["wrong_size"]:
+        raise ValueError(f"{row['wrong_size']} rows not of block size {block_size}")
+    return landed
 
 
 def check_blocks(blocks: DataFrame, block_size: int | None, split_col: str = "split",

@@ -69,15 +69,37 @@ def _flat(column: pa.Array, kind: pa.DataType) -> tuple[pa.Array, pa.Array]:
     return column.flatten().cast(kind), offsets
 
 
+_PLACES: list[tuple[Any, dict]] = []      # of a worker: heads and the places of their keys
+
+
+def _places(head: pa.Table) -> dict:
+    """Place of every key of a head; made once per worker and head."""
+    for known, places in _PLACES:
+        if known is head:
+            return places
+    places = {k: i for i, k in enumerate(head["key"].to_pylist())}
+    del _PLACES[:-3]
+    _PLACES.append((head, places))
+    return places
+
+
+def _look_up(keys: pa.Array, places: dict) -> pa.Array:
+    """Place of each of ``keys``, null where there is none; every distinct key of
+    the batch is looked up once."""
+    coded = keys.dictionary_encode()
+    found = pa.array([places.get(k) for k in coded.dictionary.to_pylist()], pa.int32())
+    return found.take(coded.indices)
+
+
 def _outside(entries, arr_col: str, keys: Sequence[str], kind: pa.DataType):
     """Each record's distinct elements that the head does not hold."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        head = entries.value["key"].combine_chunks()
+        places = _places(entries.value)
         for b in batches:
             flat, offsets = _flat(b.column(arr_col), kind)
             k = _short_keys(flat) if pa.types.is_string(kind) else flat
             row = pc.list_parent_indices(pa.ListArray.from_arrays(offsets, flat))
-            new = pc.and_(pc.is_null(pc.index_in(k, value_set=head)), pc.is_valid(k))
+            new = pc.and_(pc.is_null(_look_up(k, places)), pc.is_valid(k))
             t = pa.table({"row": row.filter(new), "key": k.filter(new)}).group_by(["row", "key"]).aggregate([])
             out = {c: b.column(c).take(t["row"].combine_chunks()) for c in keys}
             yield from pa.table({**out, "_key": t["key"]}).to_batches()
@@ -87,13 +109,13 @@ def _outside(entries, arr_col: str, keys: Sequence[str], kind: pa.DataType):
 def _mapped(entries, arr_col: str, out_col: str, carry: Sequence[str], kind: pa.DataType, value: pa.DataType, tail: bool):
     """Every element's value from the head and the batch's own tail entries."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        head_keys = entries.value["key"].combine_chunks().cast(kind)
+        places = _places(entries.value)
         head_values = entries.value["value"].combine_chunks().cast(value)
         for b in batches:
             flat, offsets = _flat(b.column(arr_col), kind)
             k = _short_keys(flat) if pa.types.is_string(kind) else flat
-            at, values = pc.index_in(k, value_set=head_keys), head_values
-            found = values.take(at)
+            at = _look_up(k, places)
+            found = head_values.take(at)
             if tail:
                 pairs = b.column("_tail").flatten()
                 if len(pairs):

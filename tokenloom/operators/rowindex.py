@@ -23,6 +23,8 @@ from tokenloom.session import default_parallelism, land
 
 # largest small side (rows) that is broadcast without further thought
 SMALL_TABLE_MAX_ROWS = 1_000_000
+# largest rank limit that Spark applies in the tasks before a shuffle
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 # --------------------------------------------------------------------------
@@ -198,9 +200,18 @@ def cap_rows(df: DataFrame, cap: int | None, dense_col: str = "split_idx") -> Da
 def cap_sorted(df: DataFrame, cap: int, order_by: Sequence[str], split_col: str = "split") -> DataFrame:
     """P7 after filters and packing, where no dense position exists: the
     first ``cap`` rows of each split by ``order_by`` (unique in a split).
-    Only the key columns are sorted and ranked."""
-    keys = [split_col, *order_by]
-    ranked = ordered_index(df.select(*keys), [F.col(c) for c in keys], "_rank")
-    first = ranked.groupBy(split_col).agg(F.min("_rank").alias("_first"))      # one row per split
-    kept = ranked.join(F.broadcast(first), split_col).where(F.col("_rank") - F.col("_first") < cap)
-    return df.join(kept.select(*keys), keys, "left_semi")
+
+    Each task keeps the first ``cap`` keys of its own rows of a split before
+    anything is shuffled (Spark's window group limit, whose threshold is
+    raised to ``cap`` for this), so a split's final rank sees at most ``cap``
+    keys a task."""
+    spark, keys = df.sparkSession, [split_col, *order_by]
+    rank = F.row_number().over(Window.partitionBy(split_col).orderBy(*order_by))
+    first = df.select(*keys).withColumn("_rank", rank).where(F.col("_rank") <= cap).select(*keys)
+    before = spark.conf.get(GROUP_LIMIT, None)
+    spark.conf.set(GROUP_LIMIT, str(max(cap, int(before or 0))))
+    try:
+        kept = land(first, "capped")
+    finally:
+        spark.conf.unset(GROUP_LIMIT) if before is None else spark.conf.set(GROUP_LIMIT, before)
+    return df.join(kept, keys, "left_semi")

@@ -20,7 +20,7 @@ from tokenloom.constants import (DEFAULT_BATCH_ROWS, DEFAULT_BUCKET_ROWS, DEFAUL
                                  DEFAULT_VALIDATION_PERCENT, MARKER)
 from tokenloom.functions.text import marker_tokens
 from tokenloom.operators.blocks import TOKEN_COLS, block_mode, build_blocks
-from tokenloom.operators.checks import check_blocks, quality_counts, require_columns, require_only_token_columns
+from tokenloom.operators.checks import land_checked, land_counted, require_columns, require_only_token_columns
 from tokenloom.operators.indexing import files_to_process, keep_indexed, reconcile, short_record_index
 from tokenloom.operators.marker import (drop_flagged, effective_block_size, flag_records, length_filter,
                                         text_column, with_labels, with_marker_index)
@@ -44,15 +44,15 @@ def archive_to_token_table(records: DataFrame, key_cols=("file", "row_idx"),
 
     Flags and lengths are decided on token strings; only kept records are
     encoded.  ``keep_flags`` keeps every record with its flags instead.  The
-    records are read and tokenized once: the flagged tokens are landed, and
-    the vocabulary, the counters and the encoding read that table.
+    records are read and tokenized once: the flagged tokens are landed, the
+    counters are observed on the way, and the vocabulary and the encoding read
+    that table.
     """
     keys = list(key_cols)
     t = with_tokens(records.select(*keys, "text")).drop("text")
-    flagged = land(flag_records(t, marker_tokens(marker), max_tokens, inclusive=True), "tokens")
+    flagged, counters = land_counted(flag_records(t, marker_tokens(marker), max_tokens, inclusive=True), "tokens")
     if vocab is None:
         vocab = build_vocabulary(flagged.select("tokens"))
-    counters = quality_counts(flagged)
     kept = flagged if keep_flags else drop_flagged(flagged)
     kept = kept.select(*keys, "tokens", "dff_idx", *(["invalid", "without_dff"] if keep_flags else []))
     enc = encode(kept, vocab, keys)
@@ -140,9 +140,8 @@ def prepare_training_blocks(df: DataFrame, cfg: BlockConfig, vocab: DataFrame |
     else:
         out = build_blocks(t, block, mode)
     if cfg.check:                                                  # C1, C3, C4 over all blocks
-        out = land(out, "blocks")
-        check_blocks(out, None if mode == "skip" else block, short_ok=mode == "concat" and cfg.keep_short,
-                     labels=cfg.train_diff_model)
+        out = land_checked(out, None if mode == "skip" else block, short_ok=mode == "concat" and cfg.keep_short,
+                           labels=cfg.train_diff_model)
     return out, vocab
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from tokenloom.constants import EOS_ID, UNKNOWN_ID
+from tokenloom.plans import queries as q
 from tokenloom.plans.growth import PATTERNS
-from tokenloom.plans.oracle import MARK, PAT, REC, TOK, _all_pos, _h, _list_lit
+from tokenloom.plans.oracle import DOCS_POS, LABEL_INDEX, MARK, ORACLE as SINGLE, PAT, REC, SHORT_INDEX, TOK, _all_pos, _h, _list_lit
 
 TWO_VERSIONS = f"""WITH {REC},
 {TOK},
@@ -31,6 +32,32 @@ each AS ({_EACH})
 SELECT doc_id, CAST(pattern AS BIGINT) AS pattern, CAST(len(p) AS BIGINT) AS n_found, array_to_string(p, ',') AS positions
 FROM each WHERE len(p) > 0""",
 
+    "bitmap_index": f"""WITH {DOCS_POS},
+{SHORT_INDEX}
+SELECT file, CAST(row_idx // 32768 AS BIGINT) AS bucket, CAST(count(*) AS BIGINT) AS n_rows,
+       md5(string_agg(CAST(row_idx AS VARCHAR), ' ' ORDER BY row_idx)) AS rows_md5
+FROM ix GROUP BY file, row_idx // 32768""",
+
+    "bitmap_semi_join": f"""WITH {DOCS_POS},
+{LABEL_INDEX},
+{SHORT_INDEX}
+SELECT file, row_idx, doc_id FROM dp
+WHERE EXISTS (SELECT 1 FROM idx WHERE idx.file = dp.file AND idx.row_idx = dp.row_idx)
+   OR EXISTS (SELECT 1 FROM ix WHERE ix.file = dp.file AND ix.row_idx = dp.row_idx)""",
+
+    "bitmap_reconcile": SINGLE["reconcile_files"],
+
+    "nested_values": """
+SELECT doc_id, doc_id || ',' || n_chars || ',true,' || CAST(-doc_id AS VARCHAR) AS ints,
+       doc_id || ',' || n_chars || ',' || source || ',' || lang || ',true,' || CAST(-doc_id AS VARCHAR) AS ints_and_strings
+FROM documents""",
+
+    "chunks_once": f"""WITH {REC},\n{TOK}
+SELECT CAST(doc_id // {q.CHUNK} AS BIGINT) AS chunk, CAST(min(doc_id) AS BIGINT) AS first, CAST(max(doc_id) AS BIGINT) AS last,
+       CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(len(t)) AS BIGINT) AS n_tokens, (doc_id // {q.CHUNK}) % 2 = 1 AS in_second_run,
+       CAST(0 AS BIGINT) AS n_rewritten
+FROM tok GROUP BY doc_id // {q.CHUNK}""",
+
     "split_archive": f"""WITH {REC}
 SELECT 'all.jsonl.zst' AS file, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS row_idx, md5(text) AS text_md5 FROM rec""",
 

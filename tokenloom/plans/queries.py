@@ -127,9 +127,9 @@ def q_vocabulary(spark, sf):
     return _vocab(spark, sf)
 
 
-def q_encode_ids(spark, sf):
+def q_encode_ids(spark, sf, vocab=None):
     t = land(_records_tokens(spark, sf), "tokens")
-    vocab = build_vocabulary(t.select("tokens"))
+    vocab = vocab if vocab is not None else build_vocabulary(t.select("tokens"))
     enc = encode(t.select("doc_id", "tokens"), vocab, ["doc_id"])
     return enc.select("doc_id", n_of("input_ids").alias("n_ids"), h("input_ids").alias("ids_md5"),
                       F.aggregate("attention_mask", F.lit(0).cast("bigint"),
@@ -172,8 +172,8 @@ def q_find_first(spark, sf):
     return t.select("doc_id", F.col("dff_idx").cast("bigint").alias("dff_idx"))
 
 
-def q_mask_labels(spark, sf):
-    m = _masked_all(spark, sf)
+def q_mask_labels(spark, sf, vocab=None):
+    m = _masked_all(spark, sf, vocab)
     return m.select("doc_id", F.col("dff_idx").cast("bigint").alias("dff_idx"),
                     n_of("labels").alias("n_labels"),
                     n_of(F.filter("labels", lambda x: x == F.lit(IGNORE_LABEL))).alias("n_masked"),
