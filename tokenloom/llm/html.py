@@ -17,15 +17,21 @@ beside the heart are not lost.
 Furniture is told by element (nav, header, footer, aside, form, ...) or by a
 whole name in class, id or role (ad, menu, sidebar-left, comments, ...).  A
 name does not decide for an element with most of the body's text outside
-links, except names of ads, readers' comments and cookie notices.  Furniture counts as link text in the densities, is never chosen, and is left out of the
-text.
+links, unless an article or main element stands beside it, or it is a name of
+ads, readers' comments or cookie notices.  A header right inside an article or
+main element is part of it.  Furniture counts as link text in the densities,
+is never chosen, and is left out of the text.  A comment section that nothing
+names as one is judged like any other text.
 
 Text: character references decoded, white space in a block turned to one
 space, trimmed; blocks in page order, joined by one line break.  Left out are
 elements hidden by ``hidden``, ``aria-hidden`` or ``display: none``, those of
-``SILENT``, and buttons that stand outside text blocks; nothing else is dropped.  Null or empty html, and pages without text: the empty string.
+``SILENT``, and buttons that stand outside text blocks; nothing else is
+dropped.  Null or empty html, and pages without text: the empty string.
+Extra columns named ``text`` or ``n_chars`` give way to the results.
 Repeated rows and extra columns pass through; an empty table gives an empty
-result.  Parsing is linear in the page, however deep it nests.
+result.  Parsing is linear in the page, however deep it nests and whatever
+it leaves unclosed.
 """
 
 from __future__ import annotations
@@ -66,19 +72,102 @@ PLACE_WORDS = r"site|top|bottom|left|right|inner|outer|wrap|wrapper|container|ar
 _LABEL_NAME = re.compile(rf"(?=.*(?<![a-z])(?:{LABEL_WORDS})(?![a-z]))(?:{LABEL_WORDS}|{PLACE_WORDS}|\d+)\d*(?:[_-]+(?:{LABEL_WORDS}|{PLACE_WORDS}|\d+)\d*)*", re.I)
 _OTHERS_NAME = re.compile(rf"(?<![a-z])(?:{OTHERS})(?![a-z])", re.I)
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>?", re.S)
-_ATTRIBUTE = re.compile(r"([^\s\"'=/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?|\"[^\"]*\"|'[^']*'")
+_TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_GAP = re.compile(r"[\s/]*")
+_ATTRIBUTE_NAME = re.compile(r"=?[^\s/>=]*")
+_EQUALS = re.compile(r"\s*=\s*")
+_UNQUOTED = re.compile(r"[^\s>]*")
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?|\Z", re.I) for name in RAW}
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _SPACE = re.compile(r"\s+")
 
 
-def attributes_of(tag: str) -> dict[str, str]:
-    """Attributes of a tag by lower-case name; the first of a name counts."""
-    found: dict[str, str] = {}
-    for name, a, b, c in _ATTRIBUTE.findall(tag):
-        if name:
-            found.setdefault(name.lower(), a or b or c)
-    return found
+class Scanner:
+    """Texts and tags of a page, in one pass.
+
+    ``("text", text)``, ``("open", name, attributes, self-closing)`` or
+    ``("close", name)``.  A quote opens a value only where a value
+    begins, and only if it is closed later; what the page has no more of (a
+    ``>``, either quote) is looked for once.  If the page ends inside a tag, that
+    tag's ``<`` is text, and from there on a tag ends at the next ``>``.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.end = page, len(page)
+        self.next_close = -1                       # the next ">" from the last place asked about
+        self.no_quote = {'"': self.end, "'": self.end}   # none from there on
+        self.plain = False
+
+    def closing(self, at: int) -> int:
+        """Place of the next ``>``, or the page's end."""
+        if self.next_close < at:
+            found = self.page.find(">", at)
+            self.next_close = self.end if found < 0 else found
+        return self.next_close
+
+    def value(self, at: int) -> tuple[str, int]:
+        quote = self.page[at:at + 1]
+        if quote in self.no_quote and quote and at + 1 < self.no_quote[quote] and not self.plain:
+            found = self.page.find(quote, at + 1)
+            if found >= 0:
+                return self.page[at + 1:found], found + 1
+            self.no_quote[quote] = at + 1
+        m = _UNQUOTED.match(self.page, at)
+        return m[0].strip("\"'") if self.plain else m[0], m.end()
+
+    def tag(self, at: int) -> tuple[str, dict[str, str], bool, int] | None:
+        """The tag whose name begins at ``at``; None if the page ends in it."""
+        name = _TAG_NAME.match(self.page, at)
+        given: dict[str, str] = {}
+        at = name.end()
+        while True:
+            gap = _GAP.match(self.page, at)
+            at = gap.end()
+            if at >= self.end:
+                return None
+            if self.page[at] == ">":
+                return name[0].lower(), given, gap[0].endswith("/"), at + 1
+            key = _ATTRIBUTE_NAME.match(self.page, at)
+            at, text = key.end(), ""
+            equals = _EQUALS.match(self.page, at)
+            if equals:
+                text, at = self.value(equals.end())
+            given.setdefault(key[0].lower(), text)
+
+    def __iter__(self):
+        page, at, kept = self.page, 0, 0             # kept: where the text not yet given begins
+        while True:
+            lt = page.find("<", at)
+            if lt < 0:
+                yield "text", page[kept:]
+                return
+            follows, close = page[lt + 1:lt + 2], page.startswith("</", lt)
+            letter = page[lt + 2:lt + 3] if close else follows
+            if page.startswith("<!--", lt):
+                found = page.find("-->", lt + 2)
+                after = self.end if found < 0 else found + 3
+            elif follows in ("!", "?") or close and not (letter.isascii() and letter.isalpha()):
+                after = self.closing(lt) + 1
+            elif letter.isascii() and letter.isalpha():
+                tag = self.tag(lt + 1 + close) if self.closing(lt) < self.end else None
+                if tag is None:
+                    self.plain, at = True, lt + 1
+                    continue
+                name, given, own, after = tag
+                yield "text", page[kept:lt]
+                yield ("close", name) if close else ("open", name, given, own)
+                if name in RAW and not close:
+                    raw = _RAW_END[name].search(page, after)
+                    yield "text", page[after:raw.start()]
+                    yield "close", name
+                    after = raw.end()
+                at = kept = min(after, self.end)
+                continue
+            else:
+                at = lt + 1
+                continue
+            yield "text", page[kept:lt]
+            at = kept = min(after, self.end)
 
 
 def hidden(given: dict[str, str]) -> bool:
@@ -100,7 +189,6 @@ class Node:
 def parse(page: str) -> Node:
     """The page's tree; ``items`` of a node are texts and nodes, in order."""
     root = here = Node("body", None)
-    at = 0
     opened: list[Node] = []             # from the body's child down to ``here``
     places: dict[str, list[int]] = {}   # of a name's open elements in ``opened``
 
@@ -116,25 +204,17 @@ def parse(page: str) -> Node:
         while len(opened) > target:
             places[opened.pop().name].pop()
 
-    search = _TOKEN.search
-    while True:
-        m = search(page, at)
-        if m is None:
-            here.items.append(page[at:])
-            return root
-        if m.start() > at:
-            here.items.append(page[at:m.start()])
-        at = m.end()
-        if not m[2]:
-            continue
-        name = m[2].lower()
-        if m[1]:
-            if name in ("html", "body"):
-                continue
-            close((name,))
+    for kind, name, *more in Scanner(page):
+        if kind == "text":
+            if name:
+                here.items.append(name)
             continue
         if name in ("html", "body"):
             continue
+        if kind == "close":
+            close((name,))
+            continue
+        given, own_end = more
         if name in CLOSES_P:
             close(("p",), ("table", "td", "th", "button", "object"))
         if name in SIBLINGS:
@@ -144,33 +224,31 @@ def parse(page: str) -> Node:
                 close(own, containers)
                 if here is before or name not in ("thead", "tbody", "tr"):
                     break
-        attributes = m[3]
-        given = attributes_of(attributes) if attributes else {}
         labels = [] if name in ("article", "main") else [
             t for k in ("class", "id", "role") for t in given.get(k, "").split() if _LABEL_NAME.fullmatch(t)]
-        furniture = name in FURNITURE or any(map(_OTHERS_NAME.search, labels))
+        # the header of an article holds its headline
+        furniture = name in FURNITURE and not (name == "header" and here.name in ("article", "main")) or any(map(_OTHERS_NAME.search, labels))
         node = Node(name, here, furniture, name in SILENT or hidden(given) or name == "button" and here.block not in TEXT_BLOCKS)
         node.labelled = bool(labels) and not furniture
         here.items.append(node)
-        if name in VOID or attributes.endswith("/") and name not in INLINE | CLOSES_P:
-            continue
-        if name in RAW:
-            end = re.compile(rf"</{name}\s*>|\Z", re.I).search(page, at)
-            node.items.append(page[at:end.start()])
-            at = end.end()
+        if name in VOID or own_end and name not in INLINE | CLOSES_P | RAW:
             continue
         places.setdefault(name, []).append(len(opened))
         opened.append(node)
         here = node
+    return root
 
 
 def settle(root: Node) -> None:
     """A name makes an element furniture unless the element holds most of the
-    body's text outside links and furniture elements."""
-    order, stack = [], [root]
+    body's text outside links and furniture elements, and no article or main
+    element stands beside it."""
+    order, stack, articles = [], [root], []
     while stack:
         node = stack.pop()
         order.append(node)
+        if node.name in ("article", "main"):
+            articles.append(node)
         for item in node.items:
             if isinstance(item, str):
                 node.plain += len(_SPACE.sub("", item))
@@ -179,12 +257,24 @@ def settle(root: Node) -> None:
     for node in reversed(order):
         if node.parent is not None:
             node.parent.plain += node.plain
-    whole = root.plain
+    whole, holds = root.plain, set()      # holds: elements with an article inside or around them
+    for node in articles:
+        up = node
+        while up is not None and id(up) not in holds:
+            holds.add(id(up))
+            up = up.parent
+    within, stack = {id(a) for a in articles}, list(articles)
+    while stack:
+        for item in stack.pop().items:
+            if not isinstance(item, str) and id(item) not in within:
+                within.add(id(item))
+                stack.append(item)
     stack = [root]
     while stack:
         node = stack.pop()
         if node.labelled:
-            node.furniture = 2 * node.plain <= whole
+            beside = bool(articles) and id(node) not in holds and id(node) not in within
+            node.furniture = beside or 2 * node.plain <= whole
         stack.extend(x for x in node.items if not isinstance(x, str))
 
 
