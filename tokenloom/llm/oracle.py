@@ -84,3 +84,61 @@ low AS (SELECT doc_id, min(r) AS r FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(low.r, d.doc_id)) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)
 """
+
+
+def _levels(name: str, count: int) -> str:
+    """CTEs ``name0 .. name<count>`` (tree, idx, n, h) from ``name0``, each level of
+    runs of three, and for each node what stands left and right of it in its run."""
+    out = []
+    for j in range(count):
+        out.append(f"""{name}{j}s AS (
+  SELECT a.tree, a.idx, coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS r
+  FROM {name}{j} a JOIN {name}{j} b ON a.tree = b.tree AND a.idx // 3 = b.idx // 3 WHERE a.n > 1 GROUP BY a.tree, a.idx),
+{name}{j + 1} AS (
+  SELECT tree, idx // 3 AS idx, (any_value(n) + 2) // 3 AS n,
+         CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY idx)) END AS h
+  FROM {name}{j} GROUP BY tree, idx // 3)""")
+    return ",\n".join(out)
+
+
+def _climb(name: str, start: str, rank: str, count: int, tree: str) -> str:
+    """CTEs ``<start>1 ..``: proof so far ``p`` and folded hash ``f`` of every leaf."""
+    return ",\n".join(f"""{start}{j + 1} AS (
+  SELECT d.* REPLACE (p || coalesce(s.l, '') || coalesce(s.r, '') AS p, CASE WHEN s.l IS NULL THEN f ELSE sha256(s.l || f || s.r) END AS f)
+  FROM {start}{j} d LEFT JOIN {name}{j}s s ON s.tree = {tree} AND s.idx = d.{rank} // {3 ** j})""" for j in range(count))
+
+
+_DEEP, _WIDE = 13, 7      # levels: 3^13 rows of a source, 3^7 sources
+_FIELD = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+OP11 = f"""
+WITH crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+d AS (
+  SELECT doc_id, source, {_leaf('text')} AS leaf,
+         CASE WHEN (list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+                                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])) & 1) = 1
+              THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS presented
+  FROM documents, crc),
+ranked AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM d),
+a0 AS (SELECT tree, rank AS idx, count(*) OVER (PARTITION BY tree) AS n, leaf AS h FROM ranked),
+{_levels('a', _DEEP)},
+b0 AS (SELECT 0 AS tree, tree AS idx, count(*) OVER () AS n, h FROM a{_DEEP}),
+{_levels('b', _WIDE)},
+c0 AS (SELECT *, '' AS p, presented AS f FROM ranked),
+{_climb('a', 'c', 'rank', _DEEP, 'd.tree')},
+e0 AS (SELECT * FROM c{_DEEP}),
+{_climb('b', 'e', 'tree', _WIDE, '0')}
+SELECT e.doc_id, e.leaf, a.h AS subroot, b.h AS root, sha256(e.p) AS proof_sha256, e.f AS folded_root, e.f = b.h AS verified
+FROM e{_WIDE} e JOIN a{_DEEP} a USING (tree), b{_WIDE} b
+"""

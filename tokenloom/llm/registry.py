@@ -35,4 +35,5 @@ ORACLE: dict[str, str] = {
     "op7_rule_ledger": oracle.OP7,
     "op9_substring_dedup": oracle.OP9,
     "op10_ngram_jaccard": oracle.OP10,
+    "op11_merkle_manifest": oracle.OP11,
 }
