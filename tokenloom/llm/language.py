@@ -6,20 +6,23 @@ into pieces, computed by the forward algorithm; a text's is the product over
 its words.  The prediction is the language of the highest probability, the
 score its posterior under equal priors.
 
-Pieces are byte strings of at most ``PIECE_BYTES``; the vocabulary's byte
-pieces make every word possible.  Texts are lower-cased.  Runs without white
-space are scored in stretches of ``STRETCH`` bytes, all of them, one after
-the other.  Each word is scored once per run of texts, for all languages at
-once, on arrays of all new words of the run.
+Pieces are byte strings (the longest of the vocabulary at hand has 25 bytes);
+the vocabulary's byte pieces make every word possible.  Texts are lower-cased.
+A word is scored whole, however long: the forward vector is scaled down every
+``RESCALE`` bytes and the logarithms of the factors are added up.  Each word is
+scored once per run of texts, for all languages at once, on arrays of words
+of one length (long ones: of about one length) at a time.
 
 Learning: expectation-maximisation.  The word counts of a sample of labelled
 rows (about ``SAMPLE`` documents of each language, by a hash of doc_id; fewer
 if there are fewer) are one Spark aggregation; each iteration is another one
-that sends back at most (pieces x languages) expected counts.
+that sends back at most (pieces x languages) expected counts.  Learning alone
+cuts runs without white space into stretches of ``STRETCH`` bytes.
 
 Null text, or one without a letter: ``und`` with score 0.  Null lang: not
 learnt from.  Null doc_id: not learnt from, ``held_out`` false.  Repeated rows
-and extra columns pass through; an empty table, or one without languages,
+and extra columns pass through (a result takes the place of a column of its
+name); an empty table, or one without languages,
 gives ``und`` throughout.  Ties go to the first language by code point.
 """
 
@@ -34,13 +37,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.llm.rows import packed, row_type, unpacked
 from tokenloom.llm.tables import map_arrow, read
 from tokenloom.llm.words import SpanHash, Words, chunks
 from tokenloom.session import land
 
 VOCABULARY = "piece_bpe_32k.model"
-PIECE_BYTES = 16
-STRETCH = 64
+STRETCH = 64           # bytes of a word that is learnt from
+RESCALE = 16
+CELLS = 1 << 20        # bytes of the words that are scored at once
 SCALE = 1000.0         # probabilities are kept times SCALE per byte, within the range of doubles
 SAMPLE = 1500
 ROUNDS = 3
@@ -62,7 +67,7 @@ def vocabulary(path: str | None = None) -> list[bytes]:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     ids = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
     pieces = {model.id_to_piece(i).replace("▁", " ").encode() for i in ids}
-    return [bytes([b]) for b in range(256)] + sorted(p for p in pieces if 1 < len(p) <= PIECE_BYTES)
+    return [bytes([b]) for b in range(256)] + sorted(p for p in pieces if len(p) > 1)
 
 
 class Pieces:
@@ -72,6 +77,7 @@ class Pieces:
     PREFIX = -2   # of a piece, but none itself
 
     def __init__(self, vocab: list[bytes]):
+        self.longest = max(map(len, vocab), default=1)
         values = {p[:k]: self.PREFIX for p in vocab for k in range(2, len(p))}
         values.update((p, k) for k, p in enumerate(vocab) if len(p) > 1)
         entries = list(values)
@@ -112,18 +118,22 @@ class Pieces:
             other = other[(out[other] != -1) & (self.keys[slot[other]] != keys[other])]
         return out
 
-    def matches(self, words: list[bytes]) -> tuple[int, list]:
-        """``(length, steps)`` of words of one length: a step ``(i, j, rows,
+    def matches(self, words: list[bytes]) -> tuple[np.ndarray, list]:
+        """``(lengths, steps)`` of words, the longest first: a step ``(i, j, rows,
         pieces)`` says that the piece stands at bytes ``i:j`` of the row.  Steps
         come by ``i``; a row is looked up as long as its bytes begin a piece."""
-        length, n = len(words[0]), len(words)
+        lengths = np.array([len(w) for w in words])
         data = np.frombuffer(b"".join(words), np.uint8)
-        (sums, inverse), base, steps = self._sums(data), np.arange(n) * length, []
-        for i in range(length):
-            steps.append((i, i + 1, slice(None), data[base + i].astype(np.int64)))
-            rows, start, factor = np.arange(n), sums[base + i], inverse[base + i]
-            for j in range(i + 2, min(length, i + PIECE_BYTES) + 1):
-                found = self.find((sums[rows * length + j] - start) * factor + np.uint64(j - i))
+        (sums, inverse), base, steps = self._sums(data), np.cumsum(lengths) - lengths, []
+        active = np.searchsorted(-lengths, -np.arange(lengths[0]), "left")     # rows longer than i
+        for i, n in enumerate(active.tolist()):
+            steps.append((i, i + 1, slice(0, n), data[base[:n] + i].astype(np.int64)))
+            rows, start, factor = np.arange(n), sums[base[:n] + i], inverse[base[:n] + i]
+            for j in range(i + 2, min(int(lengths[0]), i + self.longest) + 1):
+                inside = lengths[rows] >= j
+                if not inside.all():
+                    rows, start, factor = rows[inside], start[inside], factor[inside]
+                found = self.find((sums[base[rows] + j] - start) * factor + np.uint64(j - i))
                 hit = found >= 0
                 if hit.any():
                     steps.append((i, j, rows[hit], found[hit]))
@@ -131,7 +141,7 @@ class Pieces:
                 rows, start, factor = rows[on], start[on], factor[on]
                 if not len(rows):
                     break
-        return length, steps
+        return lengths, steps
 
 
 def scaled(probabilities: np.ndarray, vocab: list[bytes]) -> np.ndarray:
@@ -147,9 +157,37 @@ def forward(length: int, steps: list, n: int, scaled_p: np.ndarray) -> np.ndarra
     return alpha
 
 
+def log_totals(lengths: np.ndarray, steps: list, scaled_p: np.ndarray, longest: int) -> np.ndarray:
+    """Logarithm of each word's summed probability, scaled; words the longest
+    first.  ``forward`` with the vectors ahead scaled down on the way."""
+    n, size = len(lengths), longest + 1
+    alpha = np.zeros((size, n, scaled_p.shape[1]))       # of the next bytes, by place modulo size
+    alpha[0] = 1
+    logs, out, at = np.zeros((n, scaled_p.shape[1])), np.zeros((n, scaled_p.shape[1])), -1
+    shortest = n
+    for i, j, rows, pieces in steps:
+        if i != at:
+            at = i
+            left = rows.stop                              # rows that go on; those of length i are done
+            if left < shortest:
+                done = slice(left, shortest)
+                out[done] = np.log(np.maximum(alpha[i % size, done], 1e-300)) + logs[done]
+                shortest = left
+            if i and i % RESCALE == 0:
+                factor = alpha[i % size, :left].copy()
+                alpha[:, :left] /= factor
+                logs[:left] += np.log(factor)
+            if i:
+                alpha[(i - 1) % size] = 0                 # its place is now that of byte i + longest
+        alpha[j % size, rows] += alpha[i % size, rows] * scaled_p[pieces]
+    end = int(lengths[0])
+    out[:shortest] = np.log(np.maximum(alpha[end % size, :shortest], 1e-300)) + logs[:shortest]
+    return out
+
+
 def expected_counts(words: list[bytes], weights: np.ndarray, pieces: Pieces, scaled_p: np.ndarray) -> np.ndarray:
     """Expected uses of every piece in ``words`` of one length (one language)."""
-    length, steps = pieces.matches(words)
+    length, steps = len(words[0]), pieces.matches(words)[1]
     alpha = forward(length, steps, len(words), scaled_p)[:, :, 0]
     beta = np.zeros_like(alpha)
     beta[length] = weights / alpha[length]
@@ -168,14 +206,20 @@ def stretches(word: bytes) -> Iterator[bytes]:
         yield word[lo:lo + STRETCH]
 
 
-def by_length(words: Iterable[bytes]) -> Iterator[list[int]]:
-    """Indexes of words of one length, a few thousand at a time."""
+def by_length(words: Iterable[bytes], exact: bool = True) -> Iterator[list[int]]:
+    """Indexes of words of one length, a few thousand at a time; without
+    ``exact``, long ones of lengths within a factor of two, the longest first."""
     groups: dict[int, list[int]] = {}
-    for k, w in enumerate(words):
-        groups.setdefault(len(w), []).append(k)
+    lengths = [len(w) for w in words]
+    for k, n in enumerate(lengths):
+        groups.setdefault(n if exact or n <= 64 else -n.bit_length(), []).append(k)
     for group in groups.values():
-        for lo in range(0, len(group), 8192):
-            yield group[lo:lo + 8192]
+        group.sort(key=lambda k: -lengths[k])
+        lo = 0
+        while lo < len(group):
+            hi = lo + max(1, min(8192, CELLS // max(lengths[group[lo]], 1)))
+            yield group[lo:hi]
+            lo = hi
 
 
 @lru_cache(maxsize=2)
@@ -193,16 +237,10 @@ class Scorer:
         self.scores = np.zeros((REMEMBERED, probabilities.shape[1]))
 
     def score(self, words: list[bytes]) -> np.ndarray:
-        parts, owner = [], []
-        for k, w in enumerate(words):
-            for part in stretches(w):
-                parts.append(part)
-                owner.append(k)
-        out, owner = np.zeros((len(words), self.scores.shape[1])), np.array(owner)
-        for group in by_length(parts):
-            length, steps = self.pieces.matches([parts[k] for k in group])
-            last = forward(length, steps, len(group), self.scaled_p)[length]
-            np.add.at(out, owner[group], np.log(np.maximum(last, 1e-300)) - length * math.log(SCALE))
+        parts, out = [b" " + w for w in words], np.zeros((len(words), self.scores.shape[1]))
+        for group in by_length(parts, exact=False):
+            lengths, steps = self.pieces.matches([parts[k] for k in group])
+            out[group] = log_totals(lengths, steps, self.scaled_p, self.pieces.longest) - lengths[:, None] * math.log(SCALE)
         return out
 
     def of(self, words: Words) -> np.ndarray:
@@ -287,10 +325,11 @@ def learn(docs: DataFrame, vocab: list[bytes], sample: int = SAMPLE, rounds: int
 
 
 def predict(docs: DataFrame, vocab: list[bytes], langs: list[str], probabilities: np.ndarray) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; reads the text alone."""
+    """``docs`` without the text, with ``lang_pred`` and ``score``, which take the
+    place of columns of their names; reads the text alone."""
     text = F.col("text")
-    lettered = docs.withColumn("_text", F.when(text.rlike("\\p{L}"), F.lower(text)))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text") + ", lang_pred string, score double"
+    lettered = packed(docs, F.when(text.rlike("\\p{L}"), F.lower(text)).alias("text"), without=["text"])
+    schema = row_type(docs, ["text"]) + ", lang_pred string, score double"
     shared = docs.sparkSession.sparkContext.broadcast((f"{id(docs)}-{len(vocab)}-{probabilities.sum()!r}", tuple(vocab), probabilities))
 
     def run(batches):
@@ -299,7 +338,7 @@ def predict(docs: DataFrame, vocab: list[bytes], langs: list[str], probabilities
             _SCORERS.clear()
             _SCORERS[name] = Scorer(pieces, p)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+            texts = batch.column(1)
             known = np.array(texts.is_valid()) & bool(langs)
             best, score = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
             for lo, hi in chunks(texts) if langs else ():
@@ -309,10 +348,10 @@ def predict(docs: DataFrame, vocab: list[bytes], langs: list[str], probabilities
                 best[lo:hi] = total.argmax(axis=1)
                 score[lo:hi] = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
             names = [langs[b] if k else "und" for b, k in zip(best.tolist(), known.tolist())]
-            yield pa.record_batch([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0))],
-                                  names=[*batch.schema.names[:-1], "lang_pred", "score"])
+            yield pa.record_batch([batch.column(0), pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0))],
+                                  names=["row", "lang_pred", "score"])
 
-    return map_arrow(lettered.drop("text"), run, schema)
+    return unpacked(map_arrow(lettered, run, schema), docs.drop("text"), ["lang_pred", "score"])
 
 
 def identify(docs: DataFrame, path: str | None = None) -> DataFrame:
