@@ -46,9 +46,10 @@ from typing import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.llm.rows import packed, unpacked
 from tokenloom.llm.tables import components, few, forget, map_arrow, read, runtime_filters
 from tokenloom.llm.words import SpanHash, Words, chunks, mix
 from tokenloom.session import land
@@ -256,10 +257,11 @@ def _may_link(batches: Iterable[pa.RecordBatch], percent: int) -> Iterable[pa.Re
 
 def _verified(docs: DataFrame, facts: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
     """Those of the landed ``pairs`` that link; landed.  ``pairs`` is deleted."""
-    n = pairs.count()
+    n, known = pairs.count(), facts.count()
     facts = facts.select("node", "n", "sketch")
     both = pairs.join(facts.toDF("a", "na", "sa"), "a").join(facts.toDF("b", "nb", "sb"), "b")
-    left = land(few(map_arrow(both, lambda it: _may_link(it, percent), PAIRS), n), "candidates")
+    # a task reads its share of the sketches too, some four rows' worth each
+    left = land(few(map_arrow(both, lambda it: _may_link(it, percent), PAIRS), n + 4 * known), "candidates")
     forget(pairs)
     n = left.count()
     ids = land(few(left.select(F.explode(F.array("a", "b")).alias("node")).distinct(), 2 * n), "candidate-nodes")
@@ -344,6 +346,8 @@ def _resolve_heavy(docs: DataFrame, facts: DataFrame, heavy: DataFrame, known: D
     if heavy.where("short").isEmpty():
         return known.select("a", "b")
     unlike = F.col("l.group") != F.col("r.group")
+    opens = land(heavy.groupBy("key").agg(F.max("short").alias("open")).where("open").select("key"), "open-keys")
+    heavy = heavy.join(opens, "key")
     rest = _apart(_grouped(heavy, components(known), "node")).join(facts.select("node", *BRIEF), "node")
     rest, found = land(rest, "apart-entries"), [known]
     for turn in range(CELL_ROUNDS):
@@ -388,13 +392,14 @@ def near_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
-    """``docs`` with one row per group: that of the smallest doc_id.  Rows
-    without a doc_id stay."""
+    """``docs`` with one row per group: that of the smallest doc_id.  Of rows that
+    repeat an id, the one with the least hash stays.  Rows without a doc_id
+    stay.  Columns of any names pass through."""
     keep = near_components(docs, percent, width).where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    named = docs.join(keep, F.col("doc_id") == F.col("_keep"))
-    # rows that repeat an id: the join has them in one place already
-    once = named.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy("_keep"))).where("_n = 1")
-    return once.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    named = packed(docs, F.col("doc_id").alias("_id")).join(keep, F.col("_id") == F.col("_keep"))
+    # the join has rows of one id in one place already
+    once = named.groupBy("_id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return unpacked(once, docs).unionByName(docs.where("doc_id is null"))
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
