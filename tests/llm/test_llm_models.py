@@ -20,16 +20,22 @@ LIBRARY = Tokenizer.from_file(PATH)
 
 def test_forward_sums_all_segmentations():
     vocab = language.vocabulary()
+    longest = max(map(len, vocab))
+    assert longest > 16 and f"has {longest} bytes" in " ".join(language.__doc__.split())
     p = np.random.default_rng(1).dirichlet(np.ones(len(vocab)), 2).T
     place = {v: k for k, v in enumerate(vocab)}
-    words = [w.encode() for w in ("the", "straße", "x" * 40, "ciónmente", "a")]
+    long_pieces = [v.decode().strip() for v in vocab if len(v) > 16]
+    words = [w.encode() for w in ["the", "straße", "x" * 40, "ciónmente", "a", "漢字かな" * 30, "и" * 300, "the" * 3400] + long_pieces + [a + b for a, b in zip(long_pieces, long_pieces[1:])]]
     got = language.Scorer(tuple(vocab), p).score(words)
     for w, g in zip(words, got):
-        w = b" " + w
+        w, scale = b" " + w, 0.0
         a = [1.0] + [0.0] * len(w)
         for j in range(1, len(w) + 1):
-            a[j] = sum(a[i] * p[place[w[i:j]], 1] for i in range(max(0, j - language.PIECE_BYTES), j) if w[i:j] in place)
-        assert abs(g[1] - np.log(a[-1])) < 1e-9
+            a[j] = sum(a[i] * p[place[w[i:j]], 1] for i in range(max(0, j - longest), j) if w[i:j] in place)
+            if a[j] < 1e-100:     # all values that are still looked at, scaled alike
+                a[max(0, j - longest):j + 1] = [x * 1e100 for x in a[max(0, j - longest):j + 1]]
+                scale += 100 * np.log(10)
+        assert abs(g[1] - (np.log(a[-1]) - scale)) < 1e-9 * max(1, abs(g[1])), w[:40]
 
 
 def test_language_held_out_accuracy_and_edges(spark):
@@ -87,6 +93,32 @@ def test_html_hidden_is_an_attribute():
     assert html.main_text(page) == f"{text}\n{text}\nLet x=2 and press it."
 
 
+SENTENCE = "A long sentence of the article that goes on for a while, with enough words."
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<article><p title=it's>{SENTENCE} don't stop</p></article>", f"{SENTENCE} don't stop"),
+    (f"<article><p title=its' x>{SENTENCE}</p></article>", SENTENCE),
+    (f'<article><p title="x>{SENTENCE}</p></article>', SENTENCE),
+    (f'<article><p title = "a > b" data-x=\'c > d\'>{SENTENCE}</p></article>', SENTENCE),
+    (f"<article><p>{SENTENCE}<!-- a > b --><!--> 1 < 2 <</p></article>", f"{SENTENCE} 1 < 2 <"),
+    (f"<body><div class=sidebar><p>{SENTENCE * 9}</p></div><article><p>{SENTENCE}</p><p>{SENTENCE}</p></article></body>", f"{SENTENCE}\n{SENTENCE}"),
+    (f"<body><header>Site</header><article><header><h1>Headline</h1></header><p>{SENTENCE}</p><p>{SENTENCE}</p></article></body>", f"Headline\n{SENTENCE}\n{SENTENCE}")])
+def test_html_tags_as_they_come(page, want):
+    assert html.main_text(page) == want
+
+
+@pytest.mark.parametrize("unit", ["<a ", '<a title="', "<a title='>' ", '<a title=">" b', "<!-- ", "</", "<script>", "<![", "<p x=' "])
+def test_html_is_linear_in_what_is_left_open(unit):
+    import time
+    times = []
+    for n in (10000, 40000):
+        t0 = time.perf_counter()
+        html.main_text(f"<p>{SENTENCE}</p>" + unit * n)
+        times.append(time.perf_counter() - t0)
+    assert times[1] < 12 * times[0] + 0.5
+
+
 @pytest.mark.parametrize("opening", ["<div>", "<b>", "<blockquote><i>"])
 def test_html_furniture_below_deep_nesting(opening):
     text = "A long sentence of the article that goes on for a while, with enough words."
@@ -144,16 +176,30 @@ def test_codec_long_words_and_edges(spark):
 
 @pytest.mark.parametrize("block,stretch", [(997, 3), (1 << 20, 1024)])
 def test_token_counts(spark, block, stretch):
-    docs = read(spark, SF, "documents").select("text").union(spark.createDataFrame([(None,), ("",), ("<|endoftext|>",)], "text string"))
-    files = tokencount.write_token_files(docs.repartition(3), scratch_path(spark, "t"), file_ids=30000)
-    rows = tokencount.count_tokens(files, block_ids=block, stretch=stretch).collect()
-    texts = [r.text or "" for r in docs.collect()]
-    want = sorted(sum(i != 50256 for i in e.ids) for e in LIBRARY.encode_batch(texts, add_special_tokens=False))
-    assert sorted(r.n_tokens for r in rows) == want and all(r.closed for r in rows)
+    docs = read(spark, SF, "documents").select("doc_id", "text").union(
+        spark.createDataFrame([(-1, None), (-2, ""), (-3, "a <|endoftext|> b"), (-4, "x"), (-4, "x")], "doc_id bigint, text string"))
+    docs = docs.repartition(3).withColumn("n_ids", F.lit("clash")).withColumn("path", F.lit("clash"))
+    files, owners = tokencount.write_token_files(docs, scratch_path(spark, "t"), file_ids=30000, id_col="doc_id")
+    rows = tokencount.count_tokens(files.select("path", "n_ids"), block_ids=block, stretch=stretch).join(owners, ["path", "doc"]).collect()
+    LIBRARY.encode_special_tokens = True
+    want = sorted((r.doc_id, len(LIBRARY.encode(r.text or "", add_special_tokens=False).ids)) for r in docs.collect())
+    LIBRARY.encode_special_tokens = False
+    assert sorted((r.doc_id, r.n_tokens) for r in rows) == want and all(r.closed for r in rows)
     by_file = {}
     for r in sorted(rows, key=lambda r: (r.path, r.doc)):
         assert (r.doc, r.first) == by_file.get(r.path, (0, 0))
         by_file[r.path] = (r.doc + 1, r.first + r.n_tokens + 1)
+    none, _ = tokencount.write_token_files(docs.limit(0), scratch_path(spark, "t"))
+    assert tokencount.count_tokens(none.select("path", "n_ids")).collect() == []
+
+
+def test_token_counts_rerun_agrees_and_refuses_wide_ids(spark, monkeypatch):
+    cols = ["doc_id", "file", "doc", "first", "n_tokens"]
+    first, again = (sorted(map(tuple, tokencount.op3(spark, SF).select(*cols).collect())) for _ in range(2))
+    assert first == again and len(first) == 200
+    monkeypatch.setattr(tokencount, "WIDTH", 1)
+    with pytest.raises(ValueError):
+        tokencount.write_token_files(read(spark, SF, "documents"), scratch_path(spark, "t"))
 
 
 def test_token_counts_foreign_files(spark, tmp_path):

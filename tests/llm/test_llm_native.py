@@ -80,6 +80,15 @@ def test_mix_meets_targets(spark, n):
         assert abs(taken[s] - target[s]) <= largest[s]
 
 
+def test_rows_of_one_id_are_dealt_apart(spark):
+    rows = spark.range(100_000).select(F.when(F.col("id") % 2 == 0, 7).alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s").alias("source"))
+    out = mixing.mix(rows)
+    n, taken, target = out.agg(F.count(F.lit(1)), F.sum(F.col("copies") * F.col("size")), F.max("target")).first()
+    assert n == 100_000 and abs(taken - target) <= 3
+    salted = mixing._salted(rows.select("doc_id", "source", F.lit(3).cast("bigint").alias("size")))
+    assert salted.select("salt").distinct().count() == 100_000
+
+
 def test_mixed_documents_repeat_rows(spark):
     rows = [(i, " ".join(["w"] * (1 + i % 5)), "en", f"s{i % 3}", "c") for i in range(60)] + [(None, "a b", "en", "s0", "c")]
     df = spark.createDataFrame(rows, SCHEMA)

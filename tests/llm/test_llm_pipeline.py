@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, "/root/repo")
 import corpus_pipeline  # noqa: E402
-from test_llm_dedup import brute_components, brute_spans, corpus, words  # noqa: E402
+from test_llm_dedup import brute_spans, corpus, words  # noqa: E402
 from tokenloom.llm import rules, substring  # noqa: E402
 from tokenloom.llm.registry import ORACLE, QUERIES  # noqa: E402
 from tokenloom.llm.tables import read  # noqa: E402
@@ -29,7 +29,8 @@ def test_stages_against_brute_force(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, b in bits.items() if b == 0}
     rows = sorted((r.doc_id, r.text) for r in kept.collect())
     single = stages["ngram_jaccard"](spark, kept, SF)
-    rows = [(i, t) for i, t in rows if (i, i) in {(a, c) for a, _, c in brute_components(rows, 85)}]
+    alone = brute_kept(rows, 80, 5)
+    rows = [(i, t) for i, t in rows if i in alone]
     assert sorted((r.doc_id, r.text) for r in single.collect()) == rows
     cut = stages["substring_dedup"](spark, single, SF)
     want = {i: (n, k) for i, n, k, _ in brute_spans(rows, substring.WINDOW)}

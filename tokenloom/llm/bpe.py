@@ -33,7 +33,9 @@ from typing import Iterable
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tokenloom.llm.rows import packed, row_type, unpacked
 from tokenloom.llm.tables import map_arrow, read
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -160,10 +162,11 @@ class Codec:
                 at -= len(size[last])
                 token = prefix[last]
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
+    def encode(self, text: str, special: bool = True) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers; without ``special``, special
+        tokens' strings are ordinary text."""
         out = []
-        for k, part in enumerate(self.split(text)):
+        for k, part in enumerate(self.split(text) if special else [text]):
             if k % 2:
                 out.append(np.array([self.special[part]], "<u4").tobytes())
             else:
@@ -206,41 +209,41 @@ def _texts(batch: pa.RecordBatch, name: str) -> Iterable[str]:
 
 def encode(docs: DataFrame, text_col: str = "text", path: str | None = None, check: bool = False) -> DataFrame:
     """``docs`` with ``n_tokens`` and ``ids`` (array of ints); with ``check`` also
-    ``round_trip``, whether the ids decode to the text."""
+    ``round_trip``, whether the ids decode to the text.  They take the place
+    of columns of these names."""
     shared = definition(docs.sparkSession, path)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", n_tokens bigint, ids array<int>" + ", round_trip boolean" * check
-    names = [*docs.columns, "n_tokens", "ids", *["round_trip"] * check]
+    results = ["n_tokens", "ids", *["round_trip"] * check]
+    schema = row_type(docs, [text_col]) + ", text string, n_tokens bigint, ids array<int>" + ", round_trip boolean" * check
 
     def run(batches):
         c = codec(shared.value)
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
-                texts = list(_texts(part, text_col))
+                texts = list(_texts(part, "text"))
                 ids = [np.frombuffer(c.encode(t), "<i4") for t in texts]
                 same = [pa.array([c.decode(i) == t for i, t in zip(ids, texts)], pa.bool_())] if check else []
                 counts = np.array([len(x) for x in ids], np.int64)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 values = pa.array(np.concatenate(ids), pa.int32())
-                yield pa.record_batch([*part.columns, pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), values), *same], names=names)
+                yield pa.record_batch([part.column(0), part.column(1), pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), values), *same], names=["row", "text", *results])
 
-    return map_arrow(docs, run, schema)
+    rows = packed(docs, F.col(text_col).alias("text"), without=[text_col])
+    return unpacked(map_arrow(rows, run, schema), docs, results, {text_col: "text"})
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", path: str | None = None, out_col: str = "decoded") -> DataFrame:
-    """``encoded`` with the text of its ids (null ids: empty)."""
+    """``encoded`` with the text of its ids (null ids: empty) in ``out_col``."""
     shared = definition(encoded.sparkSession, path)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + f", `{out_col}` string"
-    names = [*encoded.columns, out_col]
 
     def run(batches):
         c = codec(shared.value)
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(ids_col))
-            texts = [c.decode(np.array(x.as_py() or [], np.int64)) for x in column]
-            yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=names)
+            texts = [c.decode(np.array(x.as_py() or [], np.int64)) for x in batch.column(1)]
+            yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], names=["row", "decoded"])
 
-    return map_arrow(encoded, run, schema)
+    out = map_arrow(packed(encoded, F.col(ids_col).alias("ids")), run, row_type(encoded) + ", decoded string")
+    return unpacked(out.withColumnRenamed("decoded", out_col), encoded, [out_col])
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:

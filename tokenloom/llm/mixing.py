@@ -16,8 +16,9 @@ of it is DataFrame functions; random numbers are hashes of the documents' ids
 and a seed, so reruns agree.
 
 Null text: size 0, never taken (``taken`` 0).  Null source: a source of its
-own, the last.  Repeated rows are documents of their own.  An empty table
-gives an empty mix.
+own, the last.  Repeated rows are documents of their own; ties are broken by a
+hash.  Extra columns are not read by ``mix`` and kept by ``mixed_documents``,
+whatever their names.  An empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tokenloom.llm.rows import packed, unpacked
 from tokenloom.llm.tables import read
 from tokenloom.session import land
 
@@ -112,11 +114,12 @@ def _finished(level: DataFrame) -> DataFrame:
 
 
 def round_fractions(items: DataFrame, most: int, seed: int = SEED, fan: int = FAN) -> DataFrame:
-    """``(row, more)`` for ``items(rank, of, row, key, size, mass)``: ``more`` is 1
+    """``(row, more)`` for ``items(rank, of, row, key, size, mass, salt)``: ``more`` is 1
     for the rows taken once more.  ``rank`` numbers the sources, ``of`` counts
-    a source's items and ``most`` is the largest ``of``."""
+    a source's items and ``most`` is the largest ``of``; ``salt`` parts rows
+    that repeat a key and size."""
     blocks = F.ceil(F.col("of") / fan).cast("bigint")
-    live = items.withColumn("block", F.pmod(F.xxhash64("key", "size", F.lit(seed)), blocks))
+    live = items.withColumn("block", F.pmod(F.xxhash64("key", "size", "salt", F.lit(seed)), blocks))
     count, done, depth = -(-most // fan), [], 0
     while True:
         level = land(_fold(live.select("rank", "block", "key", "size", "mass", "row"), seed + depth), "mix-level")
@@ -136,10 +139,23 @@ def round_fractions(items: DataFrame, most: int, seed: int = SEED, fan: int = FA
     return last
 
 
+def _salted(sized: DataFrame, fan: int = FAN) -> DataFrame:
+    """``sized`` with a ``salt``: the scan's number of the row where more than
+    ``fan`` rows have its id and size (they would fall into one block), else 0."""
+    hot = land(sized.groupBy("doc_id", "size").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fan).select(
+        F.col("doc_id").alias("_id"), F.col("size").alias("_size")), "mix-hot")
+    if hot.isEmpty():
+        return sized.withColumn("salt", F.lit(0).cast("bigint"))
+    scan = sized.withColumn("scan", F.monotonically_increasing_id())
+    joined = scan.join(hot, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("size") == F.col("_size")), "left")
+    return joined.withColumn("salt", F.when(F.col("_size").isNotNull(), F.col("scan")).otherwise(F.lit(0))).drop("scan", "_id", "_size")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
         weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, seed: int = SEED) -> DataFrame:
     """``(doc_id, source, size, source_size, target, copies)`` for every row of ``docs``."""
     sized = land(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(text_col).alias("size")), "mix-sizes")
+    sized = _salted(sized)
     order = Window.orderBy(F.col("source").asc_nulls_last())
     counts = sized.groupBy("source").agg(F.count(F.when(F.col("size") > 0, 1)).alias("of"))
     goal = land(targets(sized, weights, share).join(counts.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
@@ -148,14 +164,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     side = F.broadcast(goal) if n_sources <= BROADCAST_SOURCES else goal
     d = sized.join(side.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     copies = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
-    d = d.select("doc_id", "source", "size", "source_size", "target", "rank", "of",
+    d = d.select("doc_id", "source", "size", "source_size", "target", "rank", "of", "salt",
                  F.floor(copies).alias("base"), (copies - F.floor(copies)).alias("fraction"))
     # a document without words has no mass; it never meets another
     open_ = (F.col("fraction") > 0) & (F.col("size") > 0)
     row = F.struct("doc_id", "source", "size", "source_size", "target", "base")
     settled = d.where(~open_).select(row.alias("row"), F.lit(0).alias("more"))
     items = d.where(open_).select("rank", "of", row.alias("row"), F.xxhash64("doc_id", F.lit(seed)).alias("key"),
-                                  "size", (F.col("size") * F.col("fraction")).alias("mass"))
+                                  "size", (F.col("size") * F.col("fraction")).alias("mass"), "salt")
     rounded = round_fractions(items, most, seed) if most else settled.limit(0)
     both = rounded.unionByName(settled)
     return both.select("row.doc_id", "row.source", "row.size", "row.source_size", "row.target",
@@ -168,14 +184,14 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataF
     Rows are matched by id and their number within the id, so repeated ids
     keep their own decisions.
     """
-    n = lambda *by: F.row_number().over(Window.partitionBy(id_col).orderBy(*by))
-    decided = mix(docs, id_col, **options).select(F.col("doc_id").alias(id_col), "size", "copies")
-    decided = decided.withColumn("_n", n("size", "copies")).drop("size").withColumnRenamed(id_col, "_id")
-    rows = docs.withColumn("_size", words(options.get("text_col", "text")))
-    rows = rows.withColumn("_n", n("_size")).drop("_size").withColumnRenamed("_n", "_m")
-    joined = rows.join(decided, rows[id_col].eqNullSafe(F.col("_id")) & (F.col("_m") == F.col("_n")))
-    repeated = joined.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(*[docs[c] for c in docs.columns])
+    n = lambda *by: F.row_number().over(Window.partitionBy("id").orderBy(*by))
+    decided = mix(docs, id_col, **options).select(F.col("doc_id").alias("id"), "size", "copies")
+    decided = decided.select(F.col("id").alias("_id"), n("size", "copies").alias("_n"), "copies")
+    rows = packed(docs, F.col(id_col).alias("id"), words(options.get("text_col", "text")).alias("size"))
+    rows = rows.select("row", "id", n("size").alias("n"))
+    joined = rows.join(decided, F.col("id").eqNullSafe(F.col("_id")) & (F.col("n") == F.col("_n")))
+    repeated = joined.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    return unpacked(repeated, docs)
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,8 @@ a hash of doc_id.
 Null and empty texts have all statistics 0 and are scored like any other.
 Null labels and null doc_ids are not learnt from; rows that repeat a doc_id
 are each scored.  With fewer than two label values among the learnt rows the
-score is their mean (0.5 without any).  Extra columns pass through ``score``;
+score is their mean (0.5 without any).  Extra columns pass through ``score``
+unless they have the name of a result, which takes their place;
 an empty table gives an empty result.
 """
 
@@ -30,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.llm.language import held_out
+from tokenloom.llm.rows import packed, row_type, unpacked
 from tokenloom.llm.tables import map_arrow, read
 from tokenloom.llm.words import SpanHash, Words, chunks
 from tokenloom.session import land
@@ -90,19 +92,20 @@ def statistics_of(words: Words) -> np.ndarray:
 
 
 def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` without the text, with the STATISTICS."""
-    keep = [c for c in docs.columns if c != text_col]
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name != text_col) + ", ".join(f"{s} double" for s in STATISTICS)
+    """``docs`` without the text, with the STATISTICS, which take the place of
+    columns of their names."""
+    schema = row_type(docs, [text_col]) + "".join(f", {s} double" for s in STATISTICS)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+            texts = batch.column(1)
             for lo, hi in chunks(texts):
                 found = statistics_of(Words(texts.slice(lo, hi - lo)))
-                yield pa.record_batch([*batch.slice(lo, hi - lo).columns[:-1], *[pa.array(found[:, k].copy()) for k in range(len(STATISTICS))]],
-                                      names=[*keep, *STATISTICS])
+                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), *[pa.array(found[:, k].copy()) for k in range(len(STATISTICS))]],
+                                      names=["row", *STATISTICS])
 
-    return map_arrow(docs.select(*keep, text_col), run, schema)
+    rows = packed(docs, F.col(text_col).alias("text"), without=[text_col])
+    return unpacked(map_arrow(rows, run, schema), docs.drop(text_col), STATISTICS)
 
 
 Rule = tuple[tuple[str, str, float], ...]   # (statistic, "<=" or ">", threshold), sorted

@@ -43,6 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.llm.rows import packed, row_type, unpacked
 from tokenloom.llm.tables import forget, map_arrow, read, runtime_filters
 from tokenloom.llm.words import SpanHash, Words, chunks, mix
 from tokenloom.session import land
@@ -169,31 +170,28 @@ def _kept_mask(words: Words, row: int, spans: list | None) -> np.ndarray:
 
 
 def _cut(batches: Iterable[pa.RecordBatch], as_text: bool) -> Iterable[pa.RecordBatch]:
-    """Texts without the words of their spans; or counts and a digest."""
+    """``(row, text, spans)`` to texts without the words of their spans; or to
+    counts and a digest."""
     for batch in batches:
-        at = batch.schema.get_field_index("text")
-        for lo, hi in chunks(batch.column(at)):
+        for lo, hi in chunks(batch.column(1)):
             part = batch.slice(lo, hi - lo)
-            words = Words(part.column(at))
+            words = Words(part.column(1))
             data = words.data.tobytes()
             removed, texts, digests = [], [], []
-            for i, spans in enumerate(part.column(part.schema.get_field_index("_spans")).to_pylist()):
+            for i, spans in enumerate(part.column(2).to_pylist()):
                 keep = _kept_mask(words, i, spans)
                 removed.append(int(len(keep) - keep.sum()))
                 which = words.rows[i] + np.flatnonzero(keep)
                 if as_text:
-                    texts.append(_keep_text(words, data, i, which, spans) if spans else part.column(at)[i].as_py())
+                    texts.append(_keep_text(words, data, i, which, spans) if spans else part.column(1)[i].as_py())
                 else:
                     kept = b" ".join([data[a:b] for a, b in zip(words.start[which].tolist(), words.end[which].tolist())])
                     digests.append(hashlib.sha256(kept).hexdigest())
             if as_text:
-                columns = [pa.array(texts, pa.string()) if f.name == "text" else part.column(k) for k, f in enumerate(part.schema) if f.name != "_spans"]
-                yield pa.record_batch(columns, names=[f.name for f in part.schema if f.name != "_spans"])
+                yield pa.record_batch([part.column(0), pa.array(texts, pa.string())], names=["row", "text"])
             else:
-                counts = np.diff(words.rows)
-                yield pa.record_batch([part.column(part.schema.get_field_index("doc_id")), pa.array(counts.astype(np.int64)),
-                                       pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
-                                      names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+                yield pa.record_batch([part.column(0), pa.array(np.diff(words.rows).astype(np.int64)), pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
+                                      names=["row", "n_words", "n_removed", "kept_sha256"])
 
 
 def _keep_text(words: Words, data: bytes, row: int, which: np.ndarray, spans: list) -> str:
@@ -212,20 +210,23 @@ def _keep_text(words: Words, data: bytes, row: int, which: np.ndarray, spans: li
 
 def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with the duplicate spans cut out of ``text``; rows and all other
-    columns stay.  ``docs`` needs ``doc_id`` and ``text``."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_arrow(_spanned(docs, window), lambda it: _cut(it, True), schema)
+    columns, whatever their names, stay.  ``docs`` needs ``doc_id`` and ``text``."""
+    out = map_arrow(_spanned(docs, window), lambda it: _cut(it, True), row_type(docs, ["text"]) + ", text string")
+    return unpacked(out, docs, beside={"text": "text"})
 
 
 def _spanned(docs: DataFrame, window: int) -> DataFrame:
-    spans = duplicate_spans(docs.select("doc_id", "text"), window).select(F.col("doc_id").alias("_spans_of"), F.col("spans").alias("_spans"))
-    return docs.join(spans, F.col("doc_id") == F.col("_spans_of"), "left").select(*[docs[c] for c in docs.columns], "_spans")
+    """``(row, text, spans)``."""
+    spans = duplicate_spans(docs.select("doc_id", "text"), window).select(F.col("doc_id").alias("_of"), "spans")
+    rows = packed(docs, F.col("text"), F.col("doc_id").alias("_id"), without=["text"])
+    return rows.join(spans, F.col("_id") == F.col("_of"), "left").select("row", "text", "spans")
 
 
 def removal_report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed, kept_sha256."""
-    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-    return map_arrow(_spanned(docs.select("doc_id", "text"), window), lambda it: _cut(it, False), schema)
+    docs = docs.select("doc_id", "text")
+    out = map_arrow(_spanned(docs, window), lambda it: _cut(it, False), "row struct<doc_id:bigint>, n_words bigint, n_removed bigint, kept_sha256 string")
+    return out.select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

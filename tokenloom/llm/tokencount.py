@@ -17,12 +17,13 @@ Edge cases: an empty document gives a count of 0; ids after the last
 separator form a document that is marked as not closed; an empty file gives no
 document; a file whose size is not a multiple of the width is refused.  Null
 texts are written as empty documents; repeated rows are written as often.  An
-empty table gives no files and no rows.
+end-of-document mark that stands in a text is encoded as ordinary text, so its
+tokens are counted.  Ids that do not fit the width are refused.  Columns other
+than the text and the id are not read.  An empty table gives no files and no rows.
 """
 
 from __future__ import annotations
 
-import uuid
 from typing import Iterable
 
 import numpy as np
@@ -47,38 +48,64 @@ def _filesystem(path: str):
     return filesystem(path)
 
 
-def write_token_files(docs: DataFrame, folder: str, text_col: str = "text", tokenizer: str | None = None, file_ids: int = FILE_IDS) -> DataFrame:
-    """Encode ``docs`` into flat files under ``folder``; landed table
-    ``(path, n_ids)`` of the files.  A task that runs twice writes under another
-    name, and only the files of its successful run are in the table."""
+def write_token_files(docs: DataFrame, folder: str, text_col: str = "text", tokenizer: str | None = None, file_ids: int = FILE_IDS,
+                      id_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Encode ``docs`` into flat files under ``folder``; landed tables ``(path,
+    file, n_ids)`` of the files and ``(path, doc, doc_id)`` of the documents in
+    them.  ``file`` names the partition and the file's number in it, so reruns
+    over one table agree; the path also names the attempt, and only the files
+    of a task's successful run are in the tables."""
     shared = definition(docs.sparkSession, tokenizer)
+    if len(codec(shared.value).offsets) - 1 > 1 << 8 * WIDTH:
+        raise ValueError(f"the vocabulary's ids do not fit {WIDTH} bytes")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        c, out, at, count, done = codec(shared.value), None, "", 0, []
+        from pyspark import TaskContext
+
+        ctx, c = TaskContext.get(), codec(shared.value)
+        part, attempt = ctx.partitionId(), ctx.taskAttemptId()
+        out, at, file, count, doc, done, number = None, "", "", 0, 0, [], 0
         end = np.array([END_OF_DOCUMENT], f"<u{WIDTH}").tobytes()
+        names = ["path", "file", "n_ids", "doc", "doc_id"]
+
+        def rows(paths, files, sizes, docs_, ids):
+            return pa.record_batch([pa.array(paths, pa.string()), pa.array(files, pa.string()), pa.array(sizes, pa.int64()),
+                                    pa.array(docs_, pa.int64()), ids.cast(pa.int64())], names=names)
+
         try:
             for batch in batches:
-                for x in batch.column(0):
+                places = []
+                for x in batch.column(1):
                     if out is None:
-                        at, count = f"{folder}/{uuid.uuid4().hex}.ids", 0
+                        file, count, doc, number = f"{part:06d}-{number:04d}", 0, 0, number + 1
+                        at = f"{folder}/{file}-{attempt}.ids"
                         fs, place = _filesystem(at)
                         fs.create_dir(place.rsplit("/", 1)[0], recursive=True)
                         out = fs.open_output_stream(place)
-                    ids = np.frombuffer(c.encode(x.as_py() or ""), "<u4")
-                    out.write(ids[ids != END_OF_DOCUMENT].astype(f"<u{WIDTH}").tobytes())
+                    # a literal end mark in a text is text
+                    ids = np.frombuffer(c.encode(x.as_py() or "", special=False), "<u4")
+                    out.write(ids.astype(f"<u{WIDTH}").tobytes())
                     out.write(end)
-                    count += int((ids != END_OF_DOCUMENT).sum()) + 1
+                    places.append((at, file, doc))
+                    count, doc = count + len(ids) + 1, doc + 1
                     if count >= file_ids:
                         out.close()
                         out = None
-                        done.append((at, count))
+                        done.append((at, file, count))
+                if places:
+                    paths, files, numbers = zip(*places)
+                    yield rows(paths, files, [None] * len(places), numbers, batch.column(0))
         finally:
             if out is not None:
                 out.close()
-                done.append((at, count))
-        yield pa.record_batch([pa.array([p for p, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], names=["path", "n_ids"])
+                done.append((at, file, count))
+        if done:
+            paths, files, sizes = zip(*done)
+            yield rows(paths, files, sizes, [None] * len(done), pa.nulls(len(done), pa.int64()))
 
-    return land(map_arrow(docs.select(text_col), run, "path string, n_ids bigint"), "token-files")
+    ids = F.lit(None).cast("bigint") if id_col is None else F.col(id_col).cast("bigint")
+    table = land(map_arrow(docs.select(ids.alias("id"), F.col(text_col)), run, "path string, file string, n_ids bigint, doc bigint, doc_id bigint"), "token-files")
+    return table.where("n_ids IS NOT NULL").select("path", "file", "n_ids"), table.where("doc IS NOT NULL").select("path", "file", "doc", "doc_id")
 
 
 def _blocks(files: DataFrame, block_ids: int) -> DataFrame:
@@ -143,8 +170,8 @@ def files_of(spark: SparkSession, paths: list[str], width: int = WIDTH) -> DataF
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents written as flat token files, then counted without an index.
-    File names differ from run to run; the counts do not."""
-    docs = read(spark, sf_dir, "documents").select("text")
-    files = write_token_files(docs, scratch_path(spark, "tokens"))
-    return count_tokens(files).select(F.element_at(F.split("path", "/"), -1).alias("file"), "doc", "first", "n_tokens", "closed")
+    """All documents written as flat token files, then counted without an index;
+    the documents' ids come from the table that the writer leaves."""
+    files, owners = write_token_files(read(spark, sf_dir, "documents"), scratch_path(spark, "tokens"), id_col="doc_id")
+    counts = count_tokens(files.select("path", "n_ids"))
+    return counts.join(owners, ["path", "doc"]).select("doc_id", "file", "doc", "first", "n_tokens", "closed")
