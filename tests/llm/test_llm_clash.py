@@ -22,7 +22,7 @@ OPERATORS = {
     "predict": lambda d: language.predict(d, language.vocabulary(), [], __import__("numpy").zeros((1, 0))),
     "statistics": quality.statistics,
     "mixed": mixing.mixed_documents,
-    "dedup": lambda d: substring.dedup(d, 5),
+    "dedup": lambda d: substring.dedup(d, 10),
     "one_of_each": jaccard.one_of_each,
     "ledger": rules.ledger,
     "collapse": runs.collapse,

@@ -63,8 +63,8 @@ def mask(policy: Policy, rules: tuple[Rule, ...] = RULES) -> int:
 def _once(df: DataFrame, **columns: Column) -> DataFrame:
     """Columns computed once: as the output of a one-element ``explode`` they
     are not inlined into the expressions that read them."""
-    packed = F.explode(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))).alias("_once")
-    return df.select("*", packed).select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(f"_once.{k}").alias(k) for k in columns])
+    packed = F.explode(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))).alias("_ledger_once")
+    return df.select("*", packed).select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(f"_ledger_once.{k}").alias(k) for k in columns])
 
 
 def _without(text: Column, characters: str) -> Column:
@@ -100,18 +100,18 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def ledger(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with ``ledger_measures`` and ``ledger_bits`` (bit set: rule failed)."""
-    d = _once(measure(docs, text_col), _m=F.col("ledger_measures"))
+    d = _once(measure(docs, text_col), _ledger_m=F.col("ledger_measures"))
     bits = F.lit(0).cast("bigint")
     for r in rules:
-        bits = bits.bitwiseOR(F.when(F.col(f"_bit{r.bit}"), F.lit(1 << r.bit)).otherwise(F.lit(0)).cast("bigint"))
-        d = d.withColumn(f"_bit{r.bit}", _over(r.failed))
+        bits = bits.bitwiseOR(F.when(F.col(f"_ledger_bit{r.bit}"), F.lit(1 << r.bit)).otherwise(F.lit(0)).cast("bigint"))
+        d = d.withColumn(f"_ledger_bit{r.bit}", _over(r.failed))
     out = d.withColumn("ledger_bits", bits)
-    return out.drop("_m", *[f"_bit{r.bit}" for r in rules])
+    return out.drop("_ledger_m", *[f"_ledger_bit{r.bit}" for r in rules])
 
 
 def _over(condition: str) -> Column:
-    """A rule's condition with its measurements taken from the struct ``_m``."""
-    return F.expr(re.sub(r"\b(" + "|".join(MEASURES) + r")\b", r"_m.\1", condition))
+    """A rule's condition with its measurements taken from the struct ``_ledger_m``."""
+    return F.expr(re.sub(r"\b(" + "|".join(MEASURES) + r")\b", r"_ledger_m.\1", condition))
 
 
 def verdict(bits: Column | str, policy: Policy, rules: tuple[Rule, ...] = RULES) -> Column:
