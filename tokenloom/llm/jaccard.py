@@ -363,9 +363,11 @@ def _resolve_heavy(docs: DataFrame, facts: DataFrame, heavy: DataFrame, known: D
             break
     if not rest.isEmpty():
         heads = rest.groupBy("node").agg(F.collect_list("key").alias("heads"))
-        rest = land(rest.drop("count", "reach").join(heads, "node"), "rest-entries")
-        # a pair is made at the least heavy shingle that both list
-        once = F.array_min(F.array_intersect("l.heads", "r.heads")) == F.col("l.key")
+        # a pair is made at the least heavy shingle that both list, so an entry
+        # carries its document's lesser ones only
+        lesser = F.expr("filter(heads, h -> h < key)")
+        rest = land(rest.drop("count", "reach").join(heads, "node").withColumn("heads", lesser), "rest-entries")
+        once = ~F.arrays_overlap("l.heads", "r.heads")
         also = unlike & (~F.col("r.short") | (F.col("l.node") < F.col("r.node"))) & _near(percent)
         pairs = land(_pairs(rest.where("short"), rest, also, percent, once), "rest-pairs")
         found.append(_verified(docs, facts, pairs, percent, width))
