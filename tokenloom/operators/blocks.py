@@ -50,54 +50,59 @@ def _field(name: str):
     return lambda s: s[name]
 
 
-#: Parts of one split: at most so many, of so many records at least.
-MAX_PARTS, PART_ROWS = 100_000, 4096
+#: Parts of one split: at most ``MAX_PARTS``, of ``PART_ROWS`` records where there are
+#: enough for ``PARTS_PER_CORE`` parts a core, else smaller.
+MAX_PARTS, PART_ROWS, PARTS_PER_CORE = 100_000, 4096, 16
 
 
 @dataclass
 class Borders:
     """Where the parts of one split begin: the order value of each part's first
-    record, and the number of elements before it; ``total`` in the split."""
+    record, and the number of elements before it; ``total`` elements in the
+    split, and ``part_rows`` records in a part."""
 
     split: object
     first: list[int]
     before: list[int]
     total: int
+    part_rows: int
 
 
 def _positions(keys: DataFrame, split_col: str, order_col: str, bucket_rows: int) -> DataFrame:
     """``keys(split, order, _len)`` with the 0-based position ``_pos`` and the
-    number of elements before the record, ``_before``, in its split.  Two
-    levels: a small table of sums per bucket, then windows in a bucket."""
+    number of elements before the record, ``_before``, in its split, and the
+    split's records ``_n`` and elements ``_total``.  Two levels: a small table of sums per bucket, then windows in a bucket."""
     t = keys.withColumn("_bkt", F.floor(F.col(order_col) / F.lit(bucket_rows)).cast("bigint"))
     sums = t.groupBy(split_col, "_bkt").agg(F.sum("_len").alias("_s"), F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(split_col).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("bigint")
     sums = sums.select(F.col(split_col).alias("_s"), F.col("_bkt").alias("_b"),
-                       F.coalesce(F.sum("_s").over(w), zero).alias("_s0"), F.coalesce(F.sum("_c").over(w), zero).alias("_c0"))
+                       F.coalesce(F.sum("_s").over(w), zero).alias("_s0"), F.coalesce(F.sum("_c").over(w), zero).alias("_c0"),
+                       F.sum("_c").over(Window.partitionBy(split_col)).alias("_n"), F.sum("_s").over(Window.partitionBy(split_col)).alias("_total"))
     w = Window.partitionBy(split_col, "_bkt").orderBy(order_col)
     inside = F.coalesce(F.sum("_len").over(w.rowsBetween(Window.unboundedPreceding, -1)), zero)
     return t.join(sums, F.col(split_col).eqNullSafe(F.col("_s")) & (F.col("_bkt") == F.col("_b"))).select(
-        split_col, order_col, "_len", (F.col("_c0") + F.row_number().over(w) - 1).cast("bigint").alias("_pos"), (F.col("_s0") + inside).alias("_before"))
+        split_col, order_col, "_n", "_total", (F.col("_c0") + F.row_number().over(w) - 1).cast("bigint").alias("_pos"), (F.col("_s0") + inside).alias("_before"))
 
 
 def part_borders(keys: DataFrame, batch_rows: int | None, split_col: str = "split", order_col: str = "row_idx",
-                 bucket_rows: int = DEFAULT_BUCKET_ROWS) -> tuple[list[Borders], int]:
+                 bucket_rows: int = DEFAULT_BUCKET_ROWS) -> list[Borders]:
     """The parts of every split of ``keys(split, order, _len)`` (``_len``: elements
-    of the record), and the records of a part.  Collects one row for each
-    part: at most ``MAX_PARTS`` a split."""
-    totals = keys.groupBy(split_col).agg(F.count(F.lit(1)).alias("n"), F.sum("_len").alias("total")).collect()
-    rows = max((r["n"] for r in totals), default=0)
-    cores = default_parallelism(keys.sparkSession)
-    want = max(-(-rows // MAX_PARTS), min(PART_ROWS, -(-rows // (4 * cores))), 1)
+    of the record), from one job.  Collects one row for each part: at most
+    ``MAX_PARTS`` a split."""
+    up = lambda a, b: f"(({a}) + ({b}) - 1) div ({b})"
+    want = f"greatest({up('_n', MAX_PARTS)}, least({PART_ROWS}, {up('_n', PARTS_PER_CORE * default_parallelism(keys.sparkSession))}), 1)"
     unit = batch_rows or 1
-    part_rows = -(-want // unit) * unit
-    out = {r[split_col]: Borders(r[split_col], [], [], int(r["total"])) for r in totals}
-    for r in (_positions(keys, split_col, order_col, bucket_rows).where(F.col("_pos") % part_rows == 0)
-              .select(split_col, order_col, "_before").orderBy(split_col, order_col).collect()):
-        out[r[split_col]].first.append(int(r[order_col]))
-        out[r[split_col]].before.append(int(r["_before"]))
-    return list(out.values()), part_rows
+    placed = _positions(keys, split_col, order_col, bucket_rows).withColumn("_rows", F.expr(f"{up(want, unit)} * {unit}"))
+    out: dict = {}
+    for r in placed.where("_pos % _rows = 0").select(split_col, order_col, "_before", "_total", "_rows").collect():
+        b = out.setdefault(r[split_col], Borders(r[split_col], [], [], int(r["_total"]), int(r["_rows"])))
+        b.first.append(int(r[order_col]))
+        b.before.append(int(r["_before"]))
+    for b in out.values():
+        b.first.sort()
+        b.before.sort()
+    return list(out.values())
 
 
 def _constant(values: list[int]) -> Column:
@@ -145,7 +150,7 @@ def pack_blocks(df: DataFrame, block_size: int, batch_rows: int | None = DEFAULT
     cols = _present(df)
     keys = df.select(split_col, order_col, F.size("input_ids").alias("n_tokens")) if rows is None else rows
     keys = keys.select(split_col, order_col, (F.coalesce("n_tokens", F.lit(0)) + 1).cast("bigint").alias("_len"))
-    borders, part_rows = part_borders(keys, batch_rows, split_col, order_col, bucket_rows)
+    borders = part_borders(keys, batch_rows, split_col, order_col, bucket_rows)
     d = df.select(split_col, order_col, *cols)
     if not borders:
         d = d.limit(0)
@@ -161,7 +166,8 @@ def pack_blocks(df: DataFrame, block_size: int, batch_rows: int | None = DEFAULT
                            "_total": _by_split(borders, split_col, lambda b: F.lit(b.total)).cast("bigint"), "batch_id": F.lit(0).cast("bigint")})
     else:
         rank = F.row_number().over(in_part) - 1
-        d = d.withColumn("batch_id", (F.col("_part").cast("bigint") * (part_rows // batch_rows) + F.floor(rank / F.lit(batch_rows))).cast("bigint"))
+        per_part = _by_split(borders, split_col, lambda b: F.lit(b.part_rows // batch_rows)).cast("bigint")
+        d = d.withColumn("batch_id", (F.col("_part") * per_part + F.floor(rank / F.lit(batch_rows))).cast("bigint"))
         w = Window.partitionBy(split_col, "_part", "batch_id").orderBy(order_col)
         d = (d.withColumn("_start", F.coalesce(F.sum("_len").over(w.rowsBetween(*earlier)), F.lit(0)))
               .withColumn("_total", F.sum("_len").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
