@@ -19,7 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from tokenloom.session import ship_package
+from tokenloom.operators.lookup import pieces
+from tokenloom.session import bound_batches, ship_package
 
 MAX_CELLS = 20_000_000     # of the transition table (states times elements)
 
@@ -89,7 +90,7 @@ class Patterns:
 def _matches(automaton: Patterns, arr_col: str, out_col: str, kind: pa.DataType):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         elements = pa.array(automaton.elements, kind)
-        for b in batches:
+        for b in pieces(batches, arr_col):
             column = b.column(b.schema.get_field_index(arr_col))
             counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             offsets = np.concatenate([[0], np.cumsum(counts)])
@@ -109,6 +110,7 @@ def find_patterns(df: DataFrame, patterns: Sequence[Sequence], arr_col: str = "t
     if out_col in df.columns:
         raise ValueError(f"column {out_col} is there already")
     ship_package(df.sparkSession)
+    bound_batches(df.sparkSession)
     automaton = Patterns(patterns)
     kind = pa.string() if isinstance(automaton.elements[0], str) else pa.int64()
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", `{out_col}` array<struct<pattern:int,start:int>>"

@@ -41,7 +41,7 @@ def _token_table(spark: SparkSession, sf: str):
     t = land(with_tokens(_records(spark, sf)).drop("text"), "tokens")
     vocab = build_vocabulary(t.select("tokens"))
     path = scratch_path(spark, "token-table")
-    write_token_table(encode(t, vocab, ["row_idx"]), path, keep=["row_idx"])
+    write_token_table(encode(t, vocab, ["row_idx"], landed=True), path, keep=["row_idx"])
     return read_table(spark, path), vocab
 
 
@@ -145,7 +145,7 @@ def q_tfrecord_strict(spark, sf):
     t = land(with_tokens(arch).drop("text"), "tokens")
     vocab = build_vocabulary(t.select("tokens"))
     kept = length_filter(t, q.MAX_TOKENS, "tokens", inclusive=False)
-    ids = backup(encode(kept, vocab, ["file", "row_idx"], with_mask=False).select(F.col("input_ids").alias("ids")))
+    ids = backup(encode(kept, vocab, ["file", "row_idx"], with_mask=False, landed=True).select(F.col("input_ids").alias("ids")))
     path = scratch_path(spark, "tfrecord")
     write_tfrecords(ids, path)
     return read_tfrecords(spark, path).select(q.n_of("ids").alias("n_ids"), q.h("ids").alias("ids_md5"),

@@ -55,7 +55,7 @@ def archive_to_token_table(records: DataFrame, key_cols=("file", "row_idx"),
         vocab = build_vocabulary(flagged.select("tokens"))
     kept = flagged if keep_flags else drop_flagged(flagged)
     kept = kept.select(*keys, "tokens", "dff_idx", *(["invalid", "without_dff"] if keep_flags else []))
-    enc = encode(kept, vocab, keys)
+    enc = encode(kept, vocab, keys, landed=True)
     out = with_labels(enc, max_tokens=max_tokens).drop("dff_idx")
     return out, counters, vocab
 
@@ -116,7 +116,7 @@ def prepare_training_blocks(df: DataFrame, cfg: BlockConfig, vocab: DataFrame |
         if cfg.train_diff_model:
             t = t.where(F.col("dff_idx").isNotNull())
         rows = t.select(*keys, "n_tokens")
-        t = encode(t.drop("n_tokens"), vocab, keys)
+        t = encode(t.drop("n_tokens"), vocab, keys, landed=True)
     else:
         require_columns(df, ["attention_mask"])
         t = df

@@ -48,7 +48,7 @@ def q_encode_versions(spark, sf):
     """J4 with both versions: an old table's ids are a prefix of the new one's."""
     store, records = _two_versions(spark, sf)
     t = records.select("doc_id", "tokens")
-    old, new = (store.encode(t, ["doc_id"], v, with_mask=False) for v in (0, 1))
+    old, new = (store.encode(t, ["doc_id"], v, with_mask=False, landed=True) for v in (0, 1))
     both = old.select("doc_id", F.col("input_ids").alias("old")).join(new.select("doc_id", F.col("input_ids").alias("new")), "doc_id")
     return both.select("doc_id", q.n_of("new").alias("n_ids"), q.h("old").alias("old_md5"), q.h("new").alias("new_md5"),
                        q.n_of(F.filter(F.zip_with("old", "new", lambda x, y: x == y), lambda same: ~same)).alias("n_learned"))

@@ -71,10 +71,10 @@ def _vocab(spark: SparkSession, sf: str) -> DataFrame:
 
 def _masked_all(spark: SparkSession, sf: str, vocab: DataFrame | None = None) -> DataFrame:
     """Every record: ``doc_id, n_tokens, dff_idx, input_ids, attention_mask, labels``."""
-    t = land(_records_tokens(spark, sf), "tokens")
+    t = with_marker_index(_records_tokens(spark, sf).withColumn("n_tokens", n_of("tokens")), marker_tokens(MARKER))
+    t = land(t.select("doc_id", "n_tokens", "dff_idx", "tokens"), "tokens")
     vocab = vocab if vocab is not None else build_vocabulary(t.select("tokens"))
-    t = with_marker_index(t.withColumn("n_tokens", n_of("tokens")), marker_tokens(MARKER))
-    enc = encode(t.select("doc_id", "n_tokens", "dff_idx", "tokens"), vocab, ["doc_id"])
+    enc = encode(t, vocab, ["doc_id"], landed=True)
     return with_labels(enc)
 
 
@@ -87,7 +87,7 @@ def _pack_input(spark: SparkSession, sf: str, max_tokens: int) -> tuple[DataFram
     vocab = build_vocabulary(t.select("tokens"))
     t = t.where((F.col("n_tokens") < max_tokens) & F.col("dff_idx").isNotNull())
     t = t.select(F.lit("train").alias("split"), F.col("doc_id").alias("row_idx"), "n_tokens", "dff_idx", "tokens")
-    return with_labels(encode(t.drop("n_tokens"), vocab, ["row_idx"])).drop("dff_idx"), t.select("split", "row_idx", "n_tokens")
+    return with_labels(encode(t.drop("n_tokens"), vocab, ["row_idx"], landed=True)).drop("dff_idx"), t.select("split", "row_idx", "n_tokens")
 
 
 def _packed(spark: SparkSession, sf: str, max_tokens: int, block: int, batch: int | None) -> DataFrame:
@@ -130,7 +130,7 @@ def q_vocabulary(spark, sf):
 def q_encode_ids(spark, sf, vocab=None):
     t = land(_records_tokens(spark, sf), "tokens")
     vocab = vocab if vocab is not None else build_vocabulary(t.select("tokens"))
-    enc = encode(t.select("doc_id", "tokens"), vocab, ["doc_id"])
+    enc = encode(t.select("doc_id", "tokens"), vocab, ["doc_id"], landed=True)
     return enc.select("doc_id", n_of("input_ids").alias("n_ids"), h("input_ids").alias("ids_md5"),
                       F.aggregate("attention_mask", F.lit(0).cast("bigint"),
                                   lambda a, x: a + x).alias("mask_sum"))
@@ -139,7 +139,7 @@ def q_encode_ids(spark, sf, vocab=None):
 def q_decode_text(spark, sf):
     t = land(_records_tokens(spark, sf), "tokens")
     vocab = build_vocabulary(t.select("tokens"))
-    enc = encode(t.select("doc_id", "tokens"), vocab, ["doc_id"], with_mask=False)
+    enc = encode(t.select("doc_id", "tokens"), vocab, ["doc_id"], with_mask=False, landed=True)
     dec = decode(enc, vocab, ["doc_id"], "input_ids", "decoded")
     return dec.select("doc_id", F.md5("decoded").alias("decoded_md5"))
 
@@ -157,7 +157,7 @@ def q_length_filter_inclusive(spark, sf):
 def q_truncate_ids(spark, sf):
     t = land(_records_tokens(spark, sf), "tokens")
     vocab = build_vocabulary(t.select("tokens"))
-    enc = truncate_columns(encode(t.select("doc_id", "tokens"), vocab, ["doc_id"]), TRUNC_N)
+    enc = truncate_columns(encode(t.select("doc_id", "tokens"), vocab, ["doc_id"], landed=True), TRUNC_N)
     return enc.select("doc_id", n_of("input_ids").alias("n_ids"), h("input_ids").alias("ids_md5"),
                       n_of("attention_mask").alias("n_mask"))
 
@@ -405,10 +405,10 @@ def q_chunk_files(spark, sf):
     """K1 + K3: the producer's token table in numbered chunks of ``CHUNK``
     records (token columns only); rewriting a chunk replaces it."""
     from tokenloom.sinks.tables import write_chunks
-    t = land(_records_tokens(spark, sf), "tokens")
-    vocab = build_vocabulary(t.select("tokens"))
-    f = flag_records(t, marker_tokens(MARKER), MAX_TOKENS, inclusive=True).where(~F.col("invalid"))
-    enc = with_labels(encode(f.select("doc_id", "dff_idx", "tokens"), vocab, ["doc_id"]), max_tokens=MAX_TOKENS)
+    f = land(flag_records(_records_tokens(spark, sf), marker_tokens(MARKER), MAX_TOKENS, inclusive=True), "tokens")
+    vocab = build_vocabulary(f.select("tokens"))
+    f = f.where(~F.col("invalid"))
+    enc = with_labels(encode(f.select("doc_id", "dff_idx", "tokens"), vocab, ["doc_id"], landed=True), max_tokens=MAX_TOKENS)
     out = enc.select(chunk_id("doc_id", CHUNK).alias("batch"), "input_ids", "attention_mask", "labels")
     path = scratch_path(spark, "chunks")
     write_chunks(out, path)

@@ -89,6 +89,20 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+#: Rows of one Arrow batch between Spark and a Python worker (rows are whole documents here).
+BATCH_ROWS = 512
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """At most ``rows`` rows in an Arrow batch of this session, so that what a
+    Python worker holds does not grow with the rows of its task.  A setting
+    that is lower already stays."""
+    now = int(spark.conf.get(_ARROW_ROWS))
+    if now <= 0 or now > rows:
+        spark.conf.set(_ARROW_ROWS, str(rows))
+
+
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Hash-repartition ``df`` when its scan yields fewer splits than the
     cluster has cores (a small file, or one row group), so the per-row work

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from tokenloom.constants import ARCHIVE_SUFFIX
-from tokenloom.session import default_parallelism, land, ship_package
+from tokenloom.session import bound_batches, default_parallelism, land, ship_package
 from tokenloom.sinks.frames import FRAME_BYTES, PARTS, FrameWriter, stitch, write_parts
 from tokenloom.sinks.fs import clear_job, filesystem, join
 
@@ -122,6 +122,7 @@ def write_archive(df: DataFrame, path: str, file_col: str | None = None, order_c
     without it every task writes one part file."""
     spark = df.sparkSession
     ship_package(spark)
+    bound_batches(spark)
     if file_col is None:
         spark.dataSource.register(ArchiveDataSource)
         out = df.sortWithinPartitions(order_col) if order_col else df

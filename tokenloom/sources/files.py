@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenloom.constants import ARCHIVE_SUFFIX
 from tokenloom.operators.indexing import index_from_text
 from tokenloom.operators.rowindex import file_row_index, ordered_index, tag_scan_position
-from tokenloom.session import land, ship_package
+from tokenloom.session import bound_batches, land, ship_package
 from tokenloom.sinks.frames import FRAMES, list_frames, read_lines
 from tokenloom.sinks.fs import filesystem
 
@@ -97,6 +97,7 @@ def read_frames(spark: SparkSession, files: list[str], task_bytes: int = TASK_BY
     indexes are read by tasks, then frames of about ``task_bytes`` (compressed)
     go to one task.  A bad line fails the read."""
     ship_package(spark)
+    bound_batches(spark)
     cores = spark.sparkContext.defaultParallelism
     paths = spark.createDataFrame([(f,) for f in files], "path string").repartition(min(len(files), 4 * cores))
     frames = land(paths.mapInArrow(list_frames, FRAMES), "frames")

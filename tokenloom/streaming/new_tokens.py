@@ -21,7 +21,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tokenloom.constants import ARCHIVE_SUFFIX
 from tokenloom.operators.vocab import id_of_rank, with_tokens
-from tokenloom.session import ship_package
+from tokenloom.session import bound_batches, ship_package
 from tokenloom.sinks.frames import FRAMES, list_frames, read_lines
 from tokenloom.streaming.chunks import BINARY_FILE
 
@@ -54,6 +54,7 @@ class TokenNumbers(StatefulProcessor):
 def _records(spark: SparkSession, archive_dir: str, max_files_per_trigger: int) -> DataFrame:
     """``text`` of the archives as a stream, read frame by frame."""
     ship_package(spark)
+    bound_batches(spark)
     names = (spark.readStream.format("binaryFile").schema(BINARY_FILE)
              .option("maxFilesPerTrigger", max_files_per_trigger).option("pathGlobFilter", f"*{ARCHIVE_SUFFIX}")
              .load(archive_dir).select("path"))
