@@ -1,5 +1,6 @@
 """Sources and sinks: archives, TF records, index text, split files."""
 
+import io
 import json
 import os
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.sinks.archive import write_archive
 from tokenloom.sinks.tables import write_index_text, write_text_json
-from tokenloom.sinks.tfrecord import read_tfrecords, write_tfrecords
+from tokenloom.sinks.tfrecord import example_bytes, frame, read_records, read_tfrecords, write_tfrecords
 from tokenloom.sources.files import (count_files, read_archive, read_index_text, read_split_files,
                                      resolve_archive_files)
 
@@ -91,3 +92,21 @@ def test_split_files(spark, tmp_dir):
     flat = read_split_files(spark, None, f"{tmp_dir}/v.txt", keep_linebreaks=False)
     assert sorted(r["text"] for r in flat.collect()) == ["l1", "l2", "l3"]
     assert flat.where(F.col("split") == "validation").count() == 3
+
+
+def test_tfrecords_are_read_one_at_a_time():
+    records = [example_bytes(range(k)) for k in (0, 3, 500)]
+
+    class Stream(io.BytesIO):
+        most = 0
+
+        def read(self, n=-1):
+            data = super().read(n)
+            self.most = max(self.most, len(data))
+            return data
+    data = b"".join(map(frame, records * 20))
+    stream = Stream(data)
+    assert list(read_records(stream)) == records * 20 == list(read_records(data))
+    assert stream.most == len(records[2]) + 4
+    with pytest.raises(ValueError):
+        list(read_records(data[:-1]))

@@ -13,6 +13,7 @@ the same format is included for round trips.
 
 from __future__ import annotations
 
+import io
 import struct
 import uuid
 from dataclasses import dataclass, field
@@ -21,10 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWriter, InputPartition,
                                     WriterCommitMessage)
 
-from tokenloom.session import ship_package
+from tokenloom.session import bound_batches, ship_package
 from tokenloom.sinks.fs import clear_job, filesystem, join, list_files
 
 
+READ_BYTES = 1 << 20     # read ahead of a file
+
+
 # --- CRC-32C (Castagnoli), reflected polynomial 0x82F63B78 ----------------
 def _crc_table() -> list[int]:
     table = []
@@ -142,20 +146,24 @@ def frame(payload: bytes) -> bytes:
     return length + struct.pack("<I", masked_crc(length)) + payload + struct.pack("<I", masked_crc(payload))
 
 
-def read_records(data: bytes, verify: bool = True):
-    i = 0
-    while i < len(data):
-        length_bytes = data[i:i + 8]
-        (n,) = struct.unpack("<Q", length_bytes)
-        (lc,) = struct.unpack("<I", data[i + 8:i + 12])
-        if verify and lc != masked_crc(length_bytes):
+def read_records(data, verify: bool = True):
+    """Payloads of ``data``: bytes, or a binary stream, of which one record is
+    held at a time."""
+    stream = io.BytesIO(data) if isinstance(data, bytes) else data
+    while head := stream.read(12):
+        if len(head) < 12:
+            raise ValueError("truncated record length")
+        n, lc = struct.unpack("<QI", head)
+        if verify and lc != masked_crc(head[:8]):
             raise ValueError("corrupt record length")
-        payload = data[i + 12:i + 12 + n]
-        (pc,) = struct.unpack("<I", data[i + 12 + n:i + 16 + n])
+        body = stream.read(n + 4)
+        if len(body) < n + 4:
+            raise ValueError("truncated record")
+        payload = body[:n]
+        (pc,) = struct.unpack("<I", body[n:])
         if verify and pc != masked_crc(payload):
             raise ValueError("corrupt record payload")
         yield payload
-        i += 16 + n
 
 
 # --- data source ---------------------------------------------------------------
@@ -241,16 +249,16 @@ class TFRecordReader(DataSourceReader):
 
     def read(self, partition):
         fs, _ = filesystem(self.path)
-        with fs.open_input_stream(partition.value, compression=None) as fh:
-            data = fh.read()
         name = partition.value.rsplit("/", 1)[-1]
-        for k, payload in enumerate(read_records(data)):
-            yield (name, k, parse_example(payload).get(self.feature, []))
+        with fs.open_input_stream(partition.value, compression=None, buffer_size=READ_BYTES) as fh:
+            for k, payload in enumerate(read_records(fh)):
+                yield (name, k, parse_example(payload).get(self.feature, []))
 
 
 def write_tfrecords(df: DataFrame, path: str, name: str = "data", column: str = "ids") -> None:
     """K6: one Example per row of ``column``."""
     ship_package(df.sparkSession)
+    bound_batches(df.sparkSession)
     df.sparkSession.dataSource.register(TFRecordDataSource)
     (df.select(column).write.format(TFRecordDataSource.name()).mode("append")
        .option("path", path).option("name", name).option("column", column).save())
@@ -258,5 +266,6 @@ def write_tfrecords(df: DataFrame, path: str, name: str = "data", column: str =
 
 def read_tfrecords(spark, path: str) -> DataFrame:
     ship_package(spark)
+    bound_batches(spark)
     spark.dataSource.register(TFRecordDataSource)
     return spark.read.format(TFRecordDataSource.name()).option("path", path).load()
