@@ -29,8 +29,10 @@ def write_final(df: DataFrame, path: str, split_col: str = "split") -> None:
 
 def write_chunks(df: DataFrame, path: str, chunk_col: str = "batch") -> None:
     """K3: numbered chunks as ``{path}/{chunk_col}={n}/``; each chunk is
-    replaced as a whole (dynamic partition overwrite), so a rerun is safe."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    replaced as a whole (dynamic partition overwrite), so a rerun is safe.
+    A chunk's rows are brought together first, else every task would add a
+    file to every chunk; a chunk too large for a task is shared by several."""
+    (df.hint("rebalance", F.col(chunk_col)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(chunk_col).parquet(path))
 
 
