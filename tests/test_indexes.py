@@ -15,6 +15,7 @@ from tokenloom.operators.nested import INTS, INTS_AND_STRINGS, flatten_nested
 from tokenloom.operators.rowindex import cap_sorted
 from tokenloom.sinks import chunk_manifest
 from tokenloom.sinks.chunk_manifest import manifest, read_chunks, write_chunks_once
+from tokenloom.sinks.tables import write_chunks
 
 
 def _rows(df):
@@ -117,3 +118,15 @@ def test_killed_chunk_run_ends_like_an_unbroken_one(spark, tmp_dir, monkeypatch)
     assert read_chunks(spark, path).where("v = -1").count() == 1 and manifest(spark, path).count() == 10
     one = manifest(spark, path).where("chunk = 4").first()
     assert (one["first"], one["last"], one.n_rows) == (400, 499, 100)
+
+
+def test_a_chunk_is_one_file_and_commits_are_bounded(spark, tmp_dir, monkeypatch):
+    df = spark.range(1000).select(F.col("id").alias("row_idx"), F.floor(F.col("id") / 50).alias("batch")).repartition(8)
+    write_chunks(df, f"{tmp_dir}/chunks")
+    assert len(glob.glob(f"{tmp_dir}/chunks/batch=*/*.parquet")) == 20
+    monkeypatch.setattr(chunk_manifest, "GROUP", 1)
+    monkeypatch.setattr(chunk_manifest, "COMMITS", 3)
+    assert write_chunks_once(df, f"{tmp_dir}/once") == list(range(20))
+    assert len(glob.glob(f"{tmp_dir}/once/data/batch=*/*.parquet")) == 20
+    assert len(glob.glob(f"{tmp_dir}/once/_manifest/*")) == 3
+    assert read_chunks(spark, f"{tmp_dir}/once").count() == 1000
