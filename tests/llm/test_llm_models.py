@@ -156,6 +156,16 @@ def test_top_k_is_exact_over_many_shards(spark):
         assert [got[q, k + 1] for k in range(5)] == [(i, s[i]) for i in best]
 
 
+def test_top_k_broadcasts_no_blocks(spark):
+    v = np.random.default_rng(5).integers(-6, 7, (600, 4)) / 256.0
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id bigint, embedding array<double>")
+    found = topk.top_k(df, F.col("vec_id") % 3 == 0, shard=100, block=20)
+    planned = found._jdf.queryExecution().executedPlan().toString()
+    assert len(found.collect()) == 200 * 5
+    ran = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in ran and "Broadcast" not in planned + ran, ran
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.one_of(st.text(max_size=40), st.lists(st.sampled_from(["<|endoftext|>", " ", "\n", "the", "The", "'ll", "é", "　", "0", "\x1c", "aaaa"]), max_size=12).map("".join)))
 def test_codec_equals_library(text):

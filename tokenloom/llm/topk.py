@@ -11,7 +11,9 @@ included.
 The k-th score is shared between the shards in two steps: every block first
 searches one shard, and the scores found there are the lower limits with
 which it searches all others.  Of each pair of shard and block at most k
-results a query leave; Spark merges them with a ranked window.
+results a query leave; Spark merges them with a ranked window.  Blocks and
+shards meet by a sort-merge join, whatever their estimated sizes: a broadcast
+would bring every block, once for each shard, to the driver.
 
 Exact: integer scores are computed in doubles while they are below 2**53 and
 as Python integers beyond; the bound has a margin for rounding.  Scores beyond
@@ -166,7 +168,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
     queries = land(queries.join(sizes, "dim").withColumn("block", dealt("blocks", 2)), "queries")
 
     def against(limits: DataFrame | None) -> DataFrame:
-        q = queries if limits is None else queries.join(limits, F.col("vec_id") == F.col("query_id"), "left")
+        q = queries if limits is None else queries.join(limits.hint("merge"), F.col("vec_id") == F.col("query_id"), "left")
         floor = F.lit(None).cast("bigint") if limits is None else F.col("floor")
         blocks = q.groupBy("dim", "block", "shards").agg(F.collect_list(F.struct("vec_id", "v", floor.alias("floor"))).alias("rows"))
         home = F.pmod(F.col("block"), F.col("shards"))
@@ -176,7 +178,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
                              F.flatten("rows.v").alias("queries"), F.col("rows.floor").alias("floors"))
 
     schema = "query_id bigint, vec_id bigint, score bigint"
-    search = lambda pairs: map_arrow(pairs.join(trees, ["dim", "shard"]), lambda it: _search(it, k), schema)
+    search = lambda pairs: map_arrow(pairs.join(trees.hint("merge"), ["dim", "shard"]), lambda it: _search(it, k), schema)
     first = land(search(against(None)), "first-shard")
     limits = land(_ranked(first, k).where(F.col("rank") == k).select("query_id", F.col("score").alias("floor")), "limits")
     found = first.unionByName(search(against(limits)))
