@@ -104,11 +104,12 @@ def block_report(blocks: DataFrame, block_size: int | None, split_col: str = "sp
 def land_checked(blocks: DataFrame, block_size: int | None, name: str = "blocks", split_col: str = "split", short_ok: bool = False,
                  labels: bool = True) -> DataFrame:
     """C1, C3 and C4 out of the job that writes: ``blocks`` landed, every row
-    checked on its way to the files; blocks that break a check raise."""
+    checked on its way to the files; blocks that break a check raise.  Reading
+    them holds a bounded number of elements, however long a block is."""
     require_columns(blocks, [split_col, "input_ids", "attention_mask", *(["labels"] if labels else [])])
     seen = Observation("blocks")
     checks = [c for c in _block_checks([c for c in blocks.columns if labels or c != "labels"], block_size, short_ok)][:3]
-    landed = land(blocks.observe(seen, *checks, _count_if(F.col(split_col) == "train").alias("train")), name)
+    landed = land(blocks.observe(seen, *checks, _count_if(F.col(split_col) == "train").alias("train")), name, block_size)
     row = seen.get
     if not row["train"]:
         raise ValueError("no train split")

@@ -60,12 +60,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tokenloom-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def land(df: DataFrame, name: str = "landing") -> DataFrame:
+#: Array elements of a column that a scan of a landed table decodes at a time.
+SCAN_ELEMENTS = 1 << 19
+
+
+def land(df: DataFrame, name: str = "landing", elements: int | None = None) -> DataFrame:
     """Cut lineage: write ``df`` as a Parquet table in the shared checkpoint
     folder and read it back.  Computed once, survives lost executors, and
-    later reads get column pruning and filter push-down."""
+    later reads get column pruning and filter push-down.
+
+    ``elements``: the length of the arrays.  A scan decodes 4,096 rows of a
+    row group at a time, whatever their size, so a table with long arrays is
+    written in row groups of about ``SCAN_ELEMENTS`` elements."""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    out = df.write.mode("overwrite")
+    if elements:
+        out = out.option("parquet.block.row.count.limit", max(1, SCAN_ELEMENTS // elements))
+    out.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
