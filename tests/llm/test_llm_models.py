@@ -2,6 +2,7 @@
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -164,6 +165,8 @@ def test_top_k_broadcasts_no_blocks(spark):
     assert len(found.collect()) == 200 * 5
     ran = found._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in ran and "Broadcast" not in planned + ran, ran
+    shards = [pq.read_metadata(f.removeprefix("file://")) for f in found.inputFiles() if "/tokenloom-shards-" in f]
+    assert sum(m.num_rows for m in shards) == 6 and all(m.row_group(i).num_rows == 1 for m in shards for i in range(m.num_row_groups))
 
 
 @settings(max_examples=300, deadline=None)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenloom.llm.tables import map_arrow, read
-from tokenloom.session import land
+from tokenloom.session import SCAN_ELEMENTS, land
 
 SHARD = 8192
 LEAF = 128
@@ -161,7 +161,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
     sizes = F.broadcast(land(sizes, "sizes"))   # one row per vector length
     dealt = lambda of, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.col(of)).cast("int")
     trees = whole.join(sizes, "dim").groupBy("dim", dealt("shards", 1).alias("shard")).agg(F.collect_list(F.struct("vec_id", "v")).alias("rows"))
-    trees = land(trees.select("dim", "shard", F.col("rows.vec_id").alias("ids"), F.flatten("rows.v").alias("vectors")), "shards")
+    # a shard is a row group, so that a scan decodes one at a time
+    trees = land(trees.select("dim", "shard", F.col("rows.vec_id").alias("ids"), F.flatten("rows.v").alias("vectors")), "shards", SCAN_ELEMENTS)
     queries = whole.where(is_query).groupBy("dim", "vec_id").agg(F.min("v").alias("v"))
     # a repeated id with vectors of several lengths: the shortest asks
     queries = queries.groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("q")).select("vec_id", "q.dim", "q.v")
