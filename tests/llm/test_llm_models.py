@@ -166,6 +166,7 @@ def test_top_k_broadcasts_no_blocks(spark):
     ran = found._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in ran and "Broadcast" not in planned + ran, ran
     shards = [pq.read_metadata(f.removeprefix("file://")) for f in found.inputFiles() if "/tokenloom-shards-" in f]
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 4 << 20
     assert sum(m.num_rows for m in shards) == 6 and all(m.row_group(i).num_rows == 1 for m in shards for i in range(m.num_row_groups))
 
 

@@ -37,12 +37,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenloom.llm.tables import map_arrow, read
-from tokenloom.session import SCAN_ELEMENTS, land
+from tokenloom.session import SCAN_ELEMENTS, bound_batch_bytes, land
 
 SHARD = 8192
 LEAF = 128
 BLOCK = 512
 EXACT = float(1 << 53)
+#: Bytes of an Arrow batch: a row is a whole shard and a block, so one or a few are enough to hold at a time.
+BATCH_BYTES = 4 << 20
 
 
 class BallTree:
@@ -155,6 +157,7 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
           shard: int = SHARD, block: int = BLOCK) -> DataFrame:
     """``(query_id, rank, vec_id, score)``; ``is_query`` is a condition over ``vec_id``."""
+    bound_batch_bytes(vectors.sparkSession, BATCH_BYTES)
     whole = land(integers(vectors, id_col, vector_col), "vectors")
     sizes = whole.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / shard).cast("int").alias("shards"),
                                      F.ceil(F.count(F.when(is_query, 1)) / block).cast("int").alias("blocks"))

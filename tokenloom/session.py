@@ -114,6 +114,17 @@ def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(_ARROW_ROWS, str(rows))
 
 
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batch_bytes(spark: SparkSession, size: int) -> None:
+    """At most about ``size`` bytes, or one row, in an Arrow batch of this
+    session; a setting that is lower already stays."""
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_ARROW_BYTES))
+    if now <= 0 or now > size:
+        spark.conf.set(_ARROW_BYTES, str(size))
+
+
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Hash-repartition ``df`` when its scan yields fewer splits than the
     cluster has cores (a small file, or one row group), so the per-row work
